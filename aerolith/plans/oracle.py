@@ -142,4 +142,7 @@ def _order(names):
 def with_views(views: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
     ctes = [f"{n} AS ({VIEWS[n]})" for n in _order(views)]
     ctes += [f"{n} AS ({s})" for n, s in (extra or [])]
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return "WITH " + ",\n".join(ctes) + ",\n" + stripped[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body
