@@ -11,13 +11,14 @@ def _col(c: Column | str) -> Column:
 
 
 def clean_double(c: Column | str) -> Column:
-    """Cast to double and map NaN and +/-inf to NULL.
+    """Cast to double and map NaN to NULL.
 
     pandas has one missing value (NaN); Spark has NULL and NaN and sorts NaN
     above every number, so every numeric input is normalised once here.
+    ``nanvl`` references its input once, which keeps generated code small
+    when the input is itself a large expression.
     """
-    d = _col(c).cast("double")
-    return F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(d)
+    return F.nanvl(_col(c).cast("double"), F.lit(None).cast("double"))
 
 
 def nan_to_null(c: Column | str) -> Column:
