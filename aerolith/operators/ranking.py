@@ -4,6 +4,8 @@ Neither operator sorts the whole input in one task or buffers a whole group:
 
 1. the input is range-partitioned on the ordering key (Spark samples the key
    to pick balanced bounds), so partition ``p`` holds a contiguous key range;
+   that partitioned frame is checkpointed lazily so every consumer sees the
+   same bounds;
 2. a running count is computed *inside* each partition (window on the
    partition id, bounded by the partition size);
 3. per-partition totals (one row per partition, a table whose size is the
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.functions.numeric import clean_double
+from aerolith.session import ensure_checkpoint_dir
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
@@ -41,6 +44,14 @@ def with_global_position(df: DataFrame, order: list[Column | str], weight: str |
     ranged = (df.repartitionByRange(_partitions(df, partitions), *order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_w", w))
+    # Both branches below (running counts and per-partition sizes) must see
+    # the *same* range partitioning. Column pruning gives them different
+    # subtrees, so Spark would plan two range exchanges with independently
+    # sampled bounds. A reliable lazy checkpoint (in spark.checkpoint.dir)
+    # freezes one RDD: one shuffle, and recomputation after executor loss
+    # reuses the same partitioner.
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=False)
     local = ranged.withColumn(
         "_local_end",
         F.sum("_w").over(Window.partitionBy("_pid").orderBy(*order_cols)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = [
-    "q_scalars", "q_features", "q_quality", "q_joins", "q_eda",
+    "q_scalars", "q_features", "q_quality", "q_joins", "q_eda", "q_monitoring",
 ]
 
 
