@@ -139,10 +139,12 @@ def _order(names):
     return out
 
 
-def with_views(views: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
+def with_views(views: list[str], body: str, extra: list[tuple[str, str]] | None = None,
+               recursive: bool = False) -> str:
     ctes = [f"{n} AS ({VIEWS[n]})" for n in _order(views)]
     ctes += [f"{n} AS ({s})" for n, s in (extra or [])]
+    head = "WITH RECURSIVE " if recursive else "WITH "
     stripped = body.lstrip()
     if stripped[:5].upper() == "WITH ":
-        return "WITH " + ",\n".join(ctes) + ",\n" + stripped[5:]
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+        return head + ",\n".join(ctes) + ",\n" + stripped[5:]
+    return head + ",\n".join(ctes) + "\n" + body
