@@ -138,19 +138,19 @@ def us_aqi(pm2_5: Column | str, pm10: Column | str) -> Column:
 
 
 def _band_index(aqi: Column | str, uppers) -> Column:
-    """0 for missing, else 1 + number of band upper bounds strictly below the value."""
+    """0 for missing, else 1 + number of band upper bounds strictly below the value.
+
+    The input appears once in the counting lambda (plus one NULL test), so a
+    large input expression (e.g. an inlined AQI) is not copied per band.
+    """
     a = clean_double(_col(aqi))
-    expr = F.when(a.isNull(), F.lit(0))
-    for i, upper in enumerate(uppers):
-        expr = expr.when(a <= F.lit(float(upper)), F.lit(i + 1))
-    return expr.otherwise(F.lit(len(uppers) + 1))
+    bounds = F.array(*[F.lit(float(u)) for u in uppers])
+    return F.when(a.isNull(), F.lit(0)).otherwise(F.size(F.filter(bounds, lambda u: u < a)) + 1)
 
 
 def _pick(index: Column, values) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(index == i, F.lit(v)) if expr is None else expr.when(index == i, F.lit(v))
-    return expr
+    """``values[index]`` (0-based) via one array lookup."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
 
 
 def aqi_category(aqi: Column | str) -> Column:

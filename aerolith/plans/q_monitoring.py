@@ -143,9 +143,8 @@ DRIFT_SUMMARY_SQL = """SELECT count(*) AS numeric_features, count(*) FILTER (WHE
 SQL["drift_summary"] = _with_split(DRIFT_SUMMARY_SQL, _psi_sql_views())
 
 
-def _performance(spark, sf):
-    """Persistence forecast (y_hat = current AQI for the 3-step-ahead target) on both slices."""
-    t = split_table(spark, sf)
+def _performance(t):
+    """Persistence forecast (y_hat = current AQI for the 3-step-ahead target) on both slices of ``t``."""
     ref = M.regression_metrics(t.filter(F.col("split") == "reference"), "target_aqi", "us_aqi")
     registered = ref.select("rmse").scalar()
     cur = M.regression_metrics(t.filter(F.col("split") == "current"), "target_aqi", "us_aqi")
@@ -157,17 +156,19 @@ def monitor_status(spark, sf):
     t = split_table(spark, sf)
     num = M.drift_summary(M.psi_report(t, NUMERIC))
     cat = M.categorical_summary(M.tvd_report(t, CATEGORICAL))
-    perf = _performance(spark, sf)
+    perf = _performance(t)
     # three one-row summaries, combined as scalar subqueries (no join needed)
     row = perf.select(
         "samples", "mae", "rmse", "r2", "registered_rmse",
         F.round("rmse_change", 6).alias("rmse_change"), F.round("rmse_change_percentage", 6).alias("rmse_change_percentage"),
         "threshold", "performance_status",
-        *[num.select(c).scalar().alias(c) for c in
-          ("numeric_features", "drift_features", "moderate_drift_features", "drift_percentage", "mean_psi")],
-        *[cat.select(c).scalar().alias(c) for c in
-          ("features_checked", "categorical_drift_features", "categorical_moderate_drift_features")],
+        F.struct(*[num.select(F.struct("*")).scalar()[c].alias(c) for c in
+                   ("numeric_features", "drift_features", "moderate_drift_features", "drift_percentage", "mean_psi")]
+                 ).alias("_num"),
+        cat.select(F.struct("*")).scalar().alias("_cat"),
     )
+    row = row.select("*", "_num.*", F.col("_cat.features_checked"), F.col("_cat.categorical_drift_features"),
+                     F.col("_cat.categorical_moderate_drift_features")).drop("_num", "_cat")
     return row.withColumn("overall_status", M.overall_status())
 
 

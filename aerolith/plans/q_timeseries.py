@@ -86,7 +86,8 @@ def forecast_table(spark, sf):
     seeds = FC.seed_state(grid).join(sources, "city")
     model = FC.fit_roll3_linear(FE.drop_incomplete(FX.feats(spark, sf)))
     # model coefficients enter as scalar subqueries in a projection (lambdas may not hold subqueries)
-    seeds = seeds.withColumns({"_alpha": model.select("alpha").scalar(), "_beta": model.select("beta").scalar()})
+    coef = model.select(F.struct("alpha", "beta")).scalar()
+    seeds = seeds.withColumn("_coef", coef).withColumns({"_alpha": F.col("_coef.alpha"), "_beta": F.col("_coef.beta")})
     step = FC.roll3_linear_step(F.col("_alpha"), F.col("_beta"))
     fc = FC.recursive_forecast(seeds, step, extra_cols=["data_source"])
     return FC.label_forecast(fc, MODEL_NAME, MODEL_VERSION)
