@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = [
-    "q_scalars", "q_features", "q_quality", "q_joins", "q_eda", "q_monitoring", "q_timeseries", "q_registry", "q_sources", "q_streaming",
+    "q_scalars", "q_features", "q_quality", "q_joins", "q_eda", "q_monitoring", "q_timeseries", "q_registry", "q_sources", "q_streaming", "q_ml", "q_attribution",
 ]
 
 
