@@ -208,3 +208,38 @@ QUERIES.update({
     "history_coverage": history_coverage, "total_sort": total_sort, "dedup_last": dedup_last,
     "dedup_first": dedup_first, "dedup_exact": dedup_exact,
 })
+
+
+def model_input(spark, sf):
+    """PR7/PR8/PR9: feature/target split and model-input projection in the model's column order."""
+    from aerolith.operators import ml as ML
+    t = FE.drop_incomplete(FX.feats(spark, sf))
+    Q.require_columns(t, ML.NUMERIC_FEATURES + ML.CATEGORICAL_FEATURES + [ML.TARGET])
+    numeric = [c for c in Q.numeric_columns(t, exclude=["timestamp", ML.TARGET, "n_obs", "year"])
+               if c in ML.NUMERIC_FEATURES]
+    return t.select("city", "timestamp", *ML.CATEGORICAL_FEATURES[1:], *numeric, ML.TARGET)
+
+
+def _model_input_sql():
+    from aerolith.operators import ml as ML
+    from aerolith.plans.q_monitoring import TRAIN_SQL
+    cols = ", ".join(ML.CATEGORICAL_FEATURES[1:] + ML.NUMERIC_FEATURES + [ML.TARGET])
+    return O.with_views(["feats"], f'SELECT city, "timestamp", {cols} FROM train', [("train", TRAIN_SQL)])
+
+
+SQL["model_input"] = _model_input_sql()
+
+
+def reject_counts(spark, sf):
+    """DQ5: rows rejected for a NULL target or NULL key, from one aggregation."""
+    f = FX.feats(spark, sf)
+    return f.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("target_aqi").isNull()).alias("null_target"),
+                 F.count_if(F.col("city").isNull()).alias("null_key"),
+                 F.count_if(F.col("target_aqi").isNotNull() & F.col("city").isNotNull()).alias("accepted"))
+
+
+SQL["reject_counts"] = O.with_views(["feats"], """
+SELECT count(*) AS rows, count(*) FILTER (WHERE target_aqi IS NULL) AS null_target, count(*) FILTER (WHERE city IS NULL) AS null_key,
+  count(*) FILTER (WHERE target_aqi IS NOT NULL AND city IS NOT NULL) AS accepted FROM feats""")
+
+QUERIES.update({"model_input": model_input, "reject_counts": reject_counts})

@@ -143,3 +143,32 @@ QUERIES.update({
     "source_roundtrip": source_roundtrip, "cached_read": cached_read, "upsert_latest": upsert_latest,
     "keyed_insert": keyed_insert, "json_roundtrip": json_roundtrip,
 })
+
+
+def fallback_read(spark, sf):
+    """IO3: first available source wins (a missing local extract, then the shared table)."""
+    src = IO.read_first_available(spark, [f"{sf}/events_local_extract.parquet", f"{sf}/events.parquet"],
+                                  lambda p: spark.read.parquet(p))
+    return src.groupBy(F.col("event_type").alias("city")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+SQL["fallback_read"] = "SELECT event_type AS city, count(*) AS rows FROM events GROUP BY 1"
+
+
+def monitoring_history(spark, sf):
+    """IO10/IO11/MO11: the monitoring row appended to a history table and a JSON summary; history read back."""
+    from aerolith.plans.q_monitoring import monitor_status
+    row = monitor_status(spark, sf)
+    base = IO.scratch_dir(spark, "monitoring")
+    IO.write_table(row, f"{base}/history", "parquet", "append")
+    IO.write_table(row, f"{base}/summary", "json", "overwrite")
+    return spark.read.parquet(f"{base}/history")
+
+
+def _history_sql():
+    from aerolith.plans.q_monitoring import MONITOR_VIEWS, _with_split
+    return _with_split("SELECT * FROM mon_s", MONITOR_VIEWS)
+
+
+SQL["monitoring_history"] = _history_sql()
+QUERIES.update({"fallback_read": fallback_read, "monitoring_history": monitoring_history})
