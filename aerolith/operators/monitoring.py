@@ -11,11 +11,11 @@ aggregate. Nothing is collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.functions.numeric import clean_double, percent_change, relative_change
-from aerolith.operators.ranking import exact_quantiles, with_global_position
+from aerolith.operators.ranking import exact_quantiles
 
 # ---------------------------------------------------------------------------
 # Fixed values (thresholds of the reference monitoring).
@@ -41,15 +41,26 @@ def chronological_split(df: DataFrame, order=("timestamp", "city"), fraction: fl
                         min_rows: int = 10, col: str = "split") -> DataFrame:
     """WN8: first ``int(n * fraction)`` rows of the total order -> reference, rest -> current.
 
-    Positions come from the distributed global-position operator (range
-    partitioning + per-partition offsets), not from a single-partition sort.
+    Positions without a global sort: rows are counted per time value (one
+    row per distinct time -- bounded by span / grain on bucketed tables),
+    running offsets are taken over that small table, and rows are numbered
+    inside each time value by the remaining order columns (bounded by the
+    number of entities). Deterministic, so no materialisation is needed.
     Fewer than ``min_rows`` rows puts everything in the reference slice.
+    For orders whose leading column is not a bucketed time use
+    ``ranking.with_global_position``.
     """
+    ts, rest = order[0], list(order[1:])
     n = df.agg(F.count(F.lit(1))).scalar()
     cut = F.when(n >= F.lit(min_rows), F.floor(n * F.lit(float(fraction)))).otherwise(n)
-    pos = with_global_position(df, list(order), pos_col="_split_pos")
+    per_ts = df.groupBy(ts).agg(F.count(F.lit(1)).alias("_n_ts"))
+    # one row per distinct time value: the only single-partition step, bounded by span / grain
+    offsets = per_ts.select(ts, F.coalesce(F.sum("_n_ts").over(
+        Window.orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    within = F.row_number().over(Window.partitionBy(ts).orderBy(*rest)) - 1
+    pos = df.join(offsets, ts).withColumn("_split_pos", F.col("_off") + within)
     return pos.withColumn(col, F.when(F.col("_split_pos") < cut, F.lit(REFERENCE)).otherwise(F.lit(CURRENT))) \
-        .drop("_split_pos")
+        .drop("_split_pos", "_off")
 
 
 def classify_psi(psi: Column) -> Column:
