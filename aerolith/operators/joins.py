@@ -48,11 +48,13 @@ def canonical_lookup(probes: DataFrame, dimension: DataFrame, probe_col: str = "
                      name_col: str = "entity") -> DataFrame:
     """JN3/DQ11: resolve raw names to the canonical dimension name; unknown -> NULL + ``is_known`` false.
 
-    The dimension is a fixed list of entities, so it is broadcast.
+    No broadcast hint: an entity dimension can grow with the number of
+    stations, so the strategy is left to AQE's size-checked broadcast
+    threshold (a shuffled hash/sort-merge join on the collation key otherwise).
     """
     dim = dimension.select(F.col(name_col).alias("canonical_name"),
                            canonical_key(name_col).alias("_ck"))
-    out = probes.join(F.broadcast(dim), canonical_key(probe_col) == F.col("_ck"), "left")
+    out = probes.join(dim, canonical_key(probe_col) == F.col("_ck"), "left")
     return out.drop("_ck").withColumn("is_known", F.col("canonical_name").isNotNull())
 
 

@@ -88,26 +88,23 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[fl
     pos = pos.join(bounds, groups)
     # rank interval of this distinct value inside its group: [lo_rank, hi_rank]
     pos = pos.withColumn("_r0", F.col("_pos") - F.col("_g0")).withColumn("_r1", F.col("_r0") + F.col("_c") - 1)
-    targets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    # one conditional aggregation per group: for every probability the values
+    # holding the floor/ceil ranks of the interpolation point (distinct-value
+    # rows are scanned once; no per-group buffering)
     rn = (F.col("n") - 1).cast("double")
-    hits = pos.select(
-        *groups, "n", "_v", "_r0", "_r1",
-        F.explode(F.filter(
-            F.transform(targets, lambda t: F.struct(
-                t["i"].alias("i"),
-                (rn * t["p"]).alias("rn"),
-                F.floor(rn * t["p"]).alias("lo"),
-                F.ceil(rn * t["p"]).alias("hi"))),
-            lambda t: t["lo"].between(F.col("_r0"), F.col("_r1")) | t["hi"].between(F.col("_r0"), F.col("_r1")),
-        )).alias("t"))
-    per_q = hits.groupBy(*groups, "n", F.col("t.i").alias("i")).agg(
-        F.max(F.when(F.col("t.lo").between(F.col("_r0"), F.col("_r1")), F.col("_v"))).alias("lo_v"),
-        F.max(F.when(F.col("t.hi").between(F.col("_r0"), F.col("_r1")), F.col("_v"))).alias("hi_v"),
-        F.first(F.col("t.rn") - F.col("t.lo")).alias("frac"))
-    per_q = per_q.withColumn("q", F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.col("frac"))
-    out = per_q.groupBy(*groups, "n").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", "q"))), lambda s: s["q"]).alias("quantiles"))
-    return out.select(*user_groups, "n", "quantiles")
+    aggs = []
+    for i, p in enumerate(probs):
+        pos_i = rn * F.lit(float(p))
+        lo, hi = F.floor(pos_i), F.ceil(pos_i)
+        aggs.append(F.max(F.when(lo.between(F.col("_r0"), F.col("_r1")), F.col("_v"))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(hi.between(F.col("_r0"), F.col("_r1")), F.col("_v"))).alias(f"_hi{i}"))
+    per_group = pos.groupBy(*groups, "n").agg(*aggs)
+    qs = []
+    for i, p in enumerate(probs):
+        pos_i = (F.col("n") - 1).cast("double") * F.lit(float(p))
+        frac = pos_i - F.floor(pos_i)
+        qs.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * frac)
+    return per_group.select(*user_groups, "n", F.array(*qs).alias("quantiles"))
 
 
 def median(df: DataFrame, groups: list[str], value: str) -> DataFrame:
