@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from aerolith.operators import features as FE
 from aerolith.operators import monitoring as M
 from aerolith.plans import oracle as O
+from aerolith.session import cut_lineage
 from aerolith.sources import fixtures as FX
 
 QUERIES, SQL = {}, {}
@@ -18,8 +19,13 @@ CATEGORICAL = ["city", "day_of_week", "season"]
 
 
 def split_table(spark, sf):
-    """Training rows (DQ6) split 80/20 by global position in (timestamp, city) order."""
-    return M.chronological_split(FE.drop_incomplete(FX.feats(spark, sf)), ("timestamp", "city"), 0.8)
+    """Training rows (DQ6) split 80/20 by global position in (timestamp, city) order.
+
+    The split table feeds several consumers (PSI, TVD, performance, counts),
+    each of which would otherwise recompute the feature pipeline; it is
+    materialised once with a reliable checkpoint (``spark.checkpoint.dir``).
+    """
+    return cut_lineage(M.chronological_split(FE.drop_incomplete(FX.feats(spark, sf)), ("timestamp", "city"), 0.8))
 
 
 TRAIN_SQL = """SELECT * FROM feats WHERE aqi_lag_1 IS NOT NULL AND aqi_lag_3 IS NOT NULL AND aqi_lag_6 IS NOT NULL
