@@ -1,0 +1,272 @@
+"""Path-dependent tree attributions for MLlib tree ensembles (EX1/EX4 for trees).
+
+The attribution of feature j on row x is the exact Shapley value of the game
+whose value for a feature set S is the tree's expected output when the
+features in S are fixed to x and every other split is followed in proportion
+to the training rows that reached each child (node counts). The polynomial
+algorithm is the published one (Lundberg, Erion and Lee 2018, "Consistent
+individualized feature attribution for tree ensembles", Algorithm 2). For an
+ensemble the attributions are the tree-weighted sum of per-tree attributions
+and the base value is the weighted sum of per-tree expectations, so
+base + sum(phi) equals the ensemble prediction.
+
+Layout on Spark:
+
+* the fitted ensemble is written with MLlib's own writer under
+  ``spark.checkpoint.dir`` and its node table read back as a DataFrame. The
+  table is bounded by the model (trees x 2^(depth+1) nodes), never by the data;
+* trees are packed into chunks of at most ``max_nodes`` nodes. Each chunk is
+  shipped to the tasks inside the ``mapInPandas`` closure (one copy per task,
+  like MLlib's own scoring broadcast). More chunks mean more passes, never a
+  bigger closure. Chunk outputs are summed per (row, slot) by a hash aggregate;
+* inside a task the recursion runs once per tree for a whole Arrow batch. The
+  path structure (split features, cover fractions) does not depend on the
+  row; only the "row follows this branch" fractions and the path weights do,
+  so those are numpy arrays over the batch.
+"""
+
+from __future__ import annotations
+
+import uuid
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import (DecisionTreeRegressionModel, GBTRegressionModel,
+                                   RandomForestRegressionModel)
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from aerolith.session import ensure_checkpoint_dir
+
+DEFAULT_MAX_NODES = 2_000_000   # nodes per shipped chunk (~80 MB of arrays)
+
+
+@dataclass
+class TreeArrays:
+    """One tree as flat arrays indexed by node position (children -1 at leaves)."""
+    weight: float
+    left: np.ndarray
+    right: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray
+    categorical: np.ndarray        # bool per node
+    left_categories: list          # per node: tuple of category values going left (categorical splits)
+    value: np.ndarray
+    cover: np.ndarray
+
+    @property
+    def size(self) -> int:
+        return len(self.value)
+
+    def expected_value(self) -> float:
+        leaves = self.left < 0
+        return float(np.sum(self.value[leaves] * self.cover[leaves]) / self.cover[0])
+
+
+def _weights(model) -> list[float]:
+    if isinstance(model, RandomForestRegressionModel):
+        n = model.getNumTrees
+        return [float(w) / n for w in model.treeWeights]
+    if isinstance(model, GBTRegressionModel):
+        return [float(w) for w in model.treeWeights]
+    if isinstance(model, DecisionTreeRegressionModel):
+        return [1.0]
+    raise TypeError(f"tree attributions need a regression tree model, got {type(model).__name__}")
+
+
+def node_table(model, spark) -> DataFrame:
+    """Node table of a fitted tree model (treeID, id, value, cover, children, split), read back from its saved form."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tree-nodes/{model.uid}-{uuid.uuid4().hex}"
+    model.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data")
+    if "treeID" not in nodes.columns:              # a single decision tree has no tree id
+        nodes = nodes.select(F.lit(0).alias("treeID"), F.struct("*").alias("nodeData"))
+    n = F.col("nodeData")
+    return nodes.select(
+        "treeID", n["id"].alias("id"), n["prediction"].alias("value"),
+        n["impurityStats"][0].alias("cover"), n["leftChild"].alias("left"), n["rightChild"].alias("right"),
+        n["split"]["featureIndex"].alias("feature"), n["split"]["numCategories"].alias("num_categories"),
+        n["split"]["leftCategoriesOrThreshold"].alias("split_values"))
+
+
+def tree_arrays(model, spark, max_nodes: int = DEFAULT_MAX_NODES) -> list[TreeArrays]:
+    """All trees of ``model`` as arrays (model metadata, bounded by the model's parameters)."""
+    nodes = node_table(model, spark)
+    sizes = {r["treeID"]: r["n"] for r in nodes.groupBy("treeID").agg(F.count(F.lit(1)).alias("n")).collect()}
+    biggest = max(sizes.values())
+    if biggest > max_nodes:
+        raise ValueError(f"a single tree has {biggest} nodes, above max_nodes={max_nodes}")
+    weights = _weights(model)
+    pdf = nodes.toPandas()   # bounded: at most numTrees * 2^(maxDepth+1) rows, checked per tree above
+    trees = []
+    for tid, g in pdf.groupby("treeID", sort=True):
+        g = g.sort_values("id")
+        pos = {int(i): k for k, i in enumerate(g["id"])}
+        left = np.array([pos.get(int(c), -1) if c >= 0 else -1 for c in g["left"]], dtype=np.int64)
+        right = np.array([pos.get(int(c), -1) if c >= 0 else -1 for c in g["right"]], dtype=np.int64)
+        cat = (g["num_categories"].to_numpy() >= 0) & (left >= 0)
+        split_vals = list(g["split_values"])
+        thr = np.array([float(v[0]) if (len(v) and not c) else np.nan for v, c in zip(split_vals, cat)])
+        trees.append(TreeArrays(
+            weight=weights[int(tid)], left=left, right=right,
+            feature=g["feature"].to_numpy().astype(np.int64), threshold=thr, categorical=cat,
+            left_categories=[tuple(float(x) for x in v) if c else () for v, c in zip(split_vals, cat)],
+            value=g["value"].to_numpy().astype(float), cover=g["cover"].to_numpy().astype(float)))
+    # root must be the first node
+    for t in trees:
+        if t.size and t.cover[0] <= 0:
+            raise ValueError("tree root has no training rows")
+    return trees
+
+
+def chunk_trees(trees: list[TreeArrays], max_nodes: int = DEFAULT_MAX_NODES) -> list[list[TreeArrays]]:
+    """Greedy packing of trees into chunks of at most ``max_nodes`` nodes."""
+    chunks, cur, n = [], [], 0
+    for t in trees:
+        if cur and n + t.size > max_nodes:
+            chunks.append(cur)
+            cur, n = [], 0
+        cur.append(t)
+        n += t.size
+    if cur:
+        chunks.append(cur)
+    return chunks
+
+
+def base_value(trees: list[TreeArrays]) -> float:
+    return float(sum(t.weight * t.expected_value() for t in trees))
+
+
+# ---------------------------------------------------------------------------
+# Batch recursion. A path is four parallel lists: feature (int, -1 for the
+# root dummy), zero fraction (float: share of training rows following the
+# path), one fraction (array over rows: 1 if the row follows the path, else 0)
+# and path weight (array over rows).
+# ---------------------------------------------------------------------------
+
+def _extend(feat, zero, one, pw, p_zero, p_one, p_feat, n):
+    depth = len(feat)
+    feat, zero, one = feat + [p_feat], zero + [p_zero], one + [p_one]
+    pw = pw + [np.ones(n) if depth == 0 else np.zeros(n)]
+    for i in range(depth - 1, -1, -1):
+        pw[i + 1] = pw[i + 1] + p_one * pw[i] * ((i + 1) / (depth + 1))
+        pw[i] = p_zero * pw[i] * ((depth - i) / (depth + 1))
+    return feat, zero, one, pw
+
+
+def _unwound_weights(zero, one, pw, i, n):
+    """Path weights (positions 0..depth-1) after removing element ``i``; the path itself is unchanged."""
+    depth = len(pw) - 1
+    o, z = one[i], zero[i]
+    follows = o != 0
+    o_safe = np.where(follows, o, 1.0)
+    carry = pw[depth]
+    out = [None] * depth
+    for j in range(depth - 1, -1, -1):
+        w_one = carry * (depth + 1) / ((j + 1) * o_safe)
+        carry = pw[j] - w_one * z * ((depth - j) / (depth + 1))
+        w_zero = pw[j] * (depth + 1) / (z * (depth - j)) if z != 0 else np.zeros(n)
+        out[j] = np.where(follows, w_one, w_zero)
+    return out
+
+
+def _unwind(feat, zero, one, pw, i, n):
+    new_pw = _unwound_weights(zero, one, pw, i, n)
+    return feat[:i] + feat[i + 1:], zero[:i] + zero[i + 1:], one[:i] + one[i + 1:], new_pw
+
+
+def _goes_left(t: TreeArrays, node: int, X: np.ndarray) -> np.ndarray:
+    x = X[:, t.feature[node]]
+    if t.categorical[node]:
+        return np.isin(x, np.array(t.left_categories[node], dtype=float))
+    return x <= t.threshold[node]
+
+
+def _recurse(t: TreeArrays, node, X, phi, feat, zero, one, pw, p_zero, p_one, p_feat, n):
+    feat, zero, one, pw = _extend(feat, zero, one, pw, p_zero, p_one, p_feat, n)
+    if t.left[node] < 0:
+        v = t.value[node]
+        for i in range(1, len(feat)):
+            total = np.sum(_unwound_weights(zero, one, pw, i, n), axis=0)
+            phi[:, feat[i]] += total * (one[i] - zero[i]) * v
+        return
+    f = int(t.feature[node])
+    in_zero, in_one = 1.0, np.ones(n)
+    for k in range(1, len(feat)):
+        if feat[k] == f:
+            in_zero, in_one = zero[k], one[k]
+            feat, zero, one, pw = _unwind(feat, zero, one, pw, k, n)
+            break
+    go_left = _goes_left(t, node, X).astype(float)
+    lc, rc = int(t.left[node]), int(t.right[node])
+    cover = t.cover[node]
+    _recurse(t, lc, X, phi, feat, zero, one, pw, in_zero * t.cover[lc] / cover, in_one * go_left, f, n)
+    _recurse(t, rc, X, phi, feat, zero, one, pw, in_zero * t.cover[rc] / cover, in_one * (1.0 - go_left), f, n)
+
+
+def tree_phi(t: TreeArrays, X: np.ndarray) -> np.ndarray:
+    """Attributions of one tree for every row of ``X`` (rows x features), unweighted."""
+    n = X.shape[0]
+    phi = np.zeros(X.shape)
+    if n and t.size:
+        _recurse(t, 0, X, phi, [], [], [], [], 1.0, np.ones(n), -1, n)
+    return phi
+
+
+def ensemble_phi(trees: list[TreeArrays], X: np.ndarray) -> np.ndarray:
+    phi = np.zeros(X.shape)
+    for t in trees:
+        phi += t.weight * tree_phi(t, X)
+    return phi
+
+
+def _vectors_to_matrix(col: pd.Series, width: int) -> np.ndarray:
+    if len(col) == 0:
+        return np.zeros((0, width))
+    return np.vstack([np.asarray(v, dtype=float) for v in col])
+
+
+def tree_attributions(model, rows: DataFrame, keys: list[str], slots: DataFrame,
+                      features_col: str = "features", max_nodes: int = DEFAULT_MAX_NODES) -> DataFrame:
+    """Long table (keys, slot_idx, value, phi, prediction) for a tree model over scored ``rows``.
+
+    ``rows`` must carry ``features_col`` (the assembled vector) and ``prediction``.
+    ``slots`` (slot_idx, slot, raw_feature) names the vector positions.
+    """
+    spark = rows.sparkSession
+    trees = tree_arrays(model, spark, max_nodes)
+    width = int(model.numFeatures)
+    base = base_value(trees)
+    src = rows.select(*keys, "prediction", vector_to_array(features_col).alias("_x"))
+    key_fields = [f for f in src.schema.fields if f.name in keys]
+    key_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
+    part_ddl = f"{key_ddl}, prediction double, slot_idx int, value double, phi double"
+
+    def run_chunk(chunk: list[TreeArrays]):
+        def fn(batches):
+            for pdf in batches:
+                X = _vectors_to_matrix(pdf["_x"], width)
+                phi = ensemble_phi(chunk, X)
+                n = len(pdf)
+                out = {k: np.repeat(pdf[k].to_numpy(), width) for k in keys}
+                out["prediction"] = np.repeat(pdf["prediction"].to_numpy(dtype=float), width)
+                out["slot_idx"] = np.tile(np.arange(width, dtype=np.int32), n)
+                out["value"] = X.reshape(-1)
+                out["phi"] = phi.reshape(-1)
+                yield pd.DataFrame(out)
+        return src.mapInPandas(fn, part_ddl)
+
+    chunks = chunk_trees(trees, max_nodes)
+    parts = [run_chunk(c) for c in chunks]
+    long = parts[0]
+    if len(parts) > 1:
+        for p in parts[1:]:
+            long = long.unionByName(p)
+        # per-tree attributions add up: one map-side combined sum per (row, slot)
+        long = long.groupBy(*keys, "slot_idx").agg(F.first("prediction").alias("prediction"),
+                                                   F.first("value").alias("value"), F.sum("phi").alias("phi"))
+    # slot names: one row per vector slot (bounded by the model width)
+    out = long.join(F.broadcast(slots), "slot_idx")
+    return out.select(*keys, "slot", "raw_feature", "value", "phi", F.lit(base).alias("base_value"), "prediction")
