@@ -148,6 +148,11 @@ def _band_index(aqi: Column | str, uppers) -> Column:
     return F.when(a.isNull(), F.lit(0)).otherwise(F.size(F.filter(bounds, lambda u: u < a)) + 1)
 
 
+def band_index(aqi: Column | str) -> Column:
+    """SC19: 0 for a missing AQI, else the 1-based AQI band (1 = Good ... 6 = Hazardous)."""
+    return _band_index(aqi, BAND_UPPER)
+
+
 def _pick(index: Column, values) -> Column:
     """``values[index]`` (0-based) via one array lookup."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)

@@ -12,7 +12,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolith.functions.aqi import CATEGORIES, aqi_category
+from aerolith.functions.aqi import CATEGORIES, aqi_category, band_index
 from aerolith.functions.numeric import clean_double
 from aerolith.operators.ranking import median
 
@@ -45,16 +45,21 @@ def peak_and_trough(stats: DataFrame, key: str, metric: str = "mean") -> DataFra
 
 
 def category_distribution(df: DataFrame, value: str = "us_aqi") -> DataFrame:
-    """AG7: rows per AQI band for all six bands (zero-filled) and share of all rows in percent."""
-    spark = df.sparkSession
-    bands = spark.createDataFrame(list(enumerate(CATEGORIES, start=1)), "band int, aqi_category string")
-    counted = df.select(F.when(clean_double(value).isNotNull(), aqi_category(value)).alias("aqi_category"))
-    total = counted.agg(F.count(F.lit(1))).scalar()
-    counts = counted.filter(F.col("aqi_category").isNotNull()).groupBy("aqi_category").agg(
-        F.count(F.lit(1)).alias("count"))
-    out = F.broadcast(bands).join(counts, "aqi_category", "left").fillna({"count": 0})
+    """AG7: rows per AQI band for all six bands (zero-filled) and share of all rows in percent.
+
+    One global aggregation: every task counts its rows per band (partial
+    aggregate), the final aggregate sums one row per task, and the single
+    result row is unpivoted into the six bands with ``stack``. No join, no
+    second scan for the total, and a band without rows is simply a zero.
+    """
+    band = band_index(value)
+    wide = df.select(band.alias("_b")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col("_b") == F.lit(i)).alias(f"_c{i}") for i in range(1, len(CATEGORIES) + 1)])
+    cells = ", ".join(f"{i}, '{c}', _c{i}" for i, c in enumerate(CATEGORIES, start=1))
+    out = wide.selectExpr("_n", f"stack({len(CATEGORIES)}, {cells}) AS (band, aqi_category, count)")
     return out.select("band", "aqi_category", "count",
-                      F.bround(F.col("count") / total * F.lit(100.0), 2).alias("percentage"))
+                      F.bround(F.col("count") / F.col("_n") * F.lit(100.0), 2).alias("percentage"))
 
 
 def histogram(df: DataFrame, value: str = "us_aqi", bins: int = 40) -> DataFrame:

@@ -13,6 +13,7 @@ from aerolith.operators import timeseries as TS
 from aerolith.operators.monitoring import regression_metrics
 from aerolith.plans import oracle as O
 from aerolith.plans.q_monitoring import split_table
+from aerolith.session import cut_lineage
 from aerolith.sources import fixtures as FX
 from aerolith.sources.io import scratch_dir
 
@@ -114,10 +115,11 @@ def model_persistence(spark, sf):
 
 def forecast_recursive_mllib(spark, sf):
     """TS5 with an MLlib ridge model over state-derived features, recursed in one aggregate() per entity."""
-    train = FE.drop_incomplete(FX.feats(spark, sf))
+    hourly = cut_lineage(FX.series(spark, sf))   # one scan of the raw observations for all branches
+    train = FE.drop_incomplete(FX.feats(spark, sf, hourly))
     model = ML.fit_state_model(train, STATE_FEATURES)
     b0, w = ML.linear_coefficients(model)   # #features doubles: the model itself, not data
-    rt, hist = FX.series_halves(spark, sf)
+    rt, hist = FX.series_halves(spark, sf, hourly)
     chosen = TS.source_preference(rt, hist)
     seeds = FC.seed_state(TS.hourly_grid(chosen.select("city", "timestamp", "us_aqi"))) \
         .join(chosen.select("city", "data_source").distinct(), "city")
@@ -137,9 +139,10 @@ def forecast_recursive_mllib(spark, sf):
 
 def forecast_recursive_tree(spark, sf):
     """TS5 with a tree ensemble: one MLlib transform per step over all entities; lineage cut by checkpoint."""
-    train = FE.drop_incomplete(FX.feats(spark, sf))
+    hourly = cut_lineage(FX.series(spark, sf))   # one scan of the raw observations for all branches
+    train = FE.drop_incomplete(FX.feats(spark, sf, hourly))
     model = ML.fit_state_model(train, STATE_FEATURES, kind="gbt", params={"maxIter": 10, "maxDepth": 4, "seed": 42})
-    rt, hist = FX.series_halves(spark, sf)
+    rt, hist = FX.series_halves(spark, sf, hourly)
     chosen = TS.source_preference(rt, hist)
     state = FC.seed_state(TS.hourly_grid(chosen.select("city", "timestamp", "us_aqi"))) \
         .join(chosen.select("city", "data_source").distinct(), "city") \

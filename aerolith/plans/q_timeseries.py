@@ -14,6 +14,7 @@ from aerolith.operators import insights as IN
 from aerolith.operators import timeseries as TS
 from aerolith.plans import oracle as O
 from aerolith.plans.q_monitoring import TRAIN_SQL
+from aerolith.session import cut_lineage
 from aerolith.sources import fixtures as FX
 
 QUERIES, SQL = {}, {}
@@ -78,13 +79,20 @@ FROM chosen GROUP BY city, data_source""", CHOSEN_VIEWS)
 
 
 def forecast_table(spark, sf):
-    """TS6: source selection -> hourly grid -> seed state -> 24-step recursion -> labels, all entities at once."""
-    rt, hist = FX.series_halves(spark, sf)
+    """TS6: source selection -> hourly grid -> seed state -> 24-step recursion -> labels, all entities at once.
+
+    The hourly series feeds every branch (source choice, grid, seeds, model
+    fit) under different column prunings, which exchange reuse cannot merge;
+    it is materialised once (reliable checkpoint) so the raw observations are
+    scanned and scored once.
+    """
+    hourly = cut_lineage(FX.series(spark, sf))
+    rt, hist = FX.series_halves(spark, sf, hourly)
     chosen = TS.source_preference(rt, hist)
     sources = chosen.select("city", "data_source").distinct()
     grid = TS.hourly_grid(chosen.select("city", "timestamp", "us_aqi"))
     seeds = FC.seed_state(grid).join(sources, "city")
-    model = FC.fit_roll3_linear(FE.drop_incomplete(FX.feats(spark, sf)))
+    model = FC.fit_roll3_linear(FE.drop_incomplete(FX.feats(spark, sf, hourly)))
     # model coefficients enter as scalar subqueries in a projection (lambdas may not hold subqueries)
     coef = model.select(F.struct("alpha", "beta")).scalar()
     seeds = seeds.withColumn("_coef", coef).withColumns({"_alpha": F.col("_coef.alpha"), "_beta": F.col("_coef.beta")})

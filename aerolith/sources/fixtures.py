@@ -57,11 +57,14 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
                        columns=["pm2_5", "pm10", "temperature", "us_aqi"], digits=6)
 
 
-def feats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training-style feature rows: series + calendar + lag/rolling + target (nulls kept)."""
+def feats(spark: SparkSession, sf_dir: str, hourly: DataFrame | None = None) -> DataFrame:
+    """Training-style feature rows: series + calendar + lag/rolling + target (nulls kept).
+
+    ``hourly`` is an already built (e.g. materialised) ``series`` to start from.
+    """
     from aerolith.operators.features import add_history_features, add_target
 
-    s = with_calendar(series(spark, sf_dir), "timestamp")
+    s = with_calendar(hourly if hourly is not None else series(spark, sf_dir), "timestamp")
     return add_target(add_history_features(s, key="city", ts="timestamp", value="us_aqi"),
                       key="city", ts="timestamp", value="us_aqi", horizon=3)
 
@@ -129,9 +132,9 @@ def entity_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(lit_rows)
 
 
-def series_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def series_halves(spark: SparkSession, sf_dir: str, hourly: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(real-time, historical) series: two cities of the real-time side keep only their last 12 h."""
-    s = series(spark, sf_dir).select("city", "timestamp", "us_aqi")
+    s = (hourly if hourly is not None else series(spark, sf_dir)).select("city", "timestamp", "us_aqi")
     last = s.groupBy("city").agg(F.max("timestamp").alias("last_ts"))
     rt = (s.join(last, "city")
           .filter(~F.col("city").isin("click", "error")
