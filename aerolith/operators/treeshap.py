@@ -16,9 +16,10 @@ Layout on Spark:
   ``spark.checkpoint.dir`` and its node table read back as a DataFrame. The
   table is bounded by the model (trees x 2^(depth+1) nodes), never by the data;
 * trees are packed into chunks of at most ``max_nodes`` nodes. Each chunk is
-  shipped to the tasks inside the ``mapInPandas`` closure (one copy per task,
-  like MLlib's own scoring broadcast). More chunks mean more passes, never a
-  bigger closure. Chunk outputs are summed per (row, slot) by a hash aggregate;
+  a broadcast variable read by a ``mapInPandas`` pass over the rows (MLlib
+  broadcasts the whole ensemble the same way when it scores). More chunks
+  mean more passes, never a bigger broadcast. Chunk outputs are summed per
+  (row, slot) by a hash aggregate;
 * inside a task the recursion runs once per tree for a whole Arrow batch. The
   path structure (split features, cover fractions) does not depend on the
   row; only the "row follows this branch" fractions and the path weights do,
@@ -245,10 +246,13 @@ def tree_attributions(model, rows: DataFrame, keys: list[str], slots: DataFrame,
     part_ddl = f"{key_ddl}, prediction double, slot_idx int, value double, phi double"
 
     def run_chunk(chunk: list[TreeArrays]):
+        shared = spark.sparkContext.broadcast(chunk)   # at most max_nodes nodes
+
         def fn(batches):
+            trees_here = shared.value
             for pdf in batches:
                 X = _vectors_to_matrix(pdf["_x"], width)
-                phi = ensemble_phi(chunk, X)
+                phi = ensemble_phi(trees_here, X)
                 n = len(pdf)
                 out = {k: np.repeat(pdf[k].to_numpy(), width) for k in keys}
                 out["prediction"] = np.repeat(pdf["prediction"].to_numpy(dtype=float), width)

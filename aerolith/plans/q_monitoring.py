@@ -163,12 +163,13 @@ def monitor_status(spark, sf):
     num = M.drift_summary(M.psi_report(t, NUMERIC))
     cat = M.categorical_summary(M.tvd_report(t, CATEGORICAL))
     perf = _performance(t)
-    # three one-row summaries, combined as scalar subqueries (no join needed)
+    # three one-row summaries, combined as scalar subqueries (one per summary, no join needed)
+    num_row = num.select(F.struct("*")).scalar()
     row = perf.select(
         "samples", "mae", "rmse", "r2", "registered_rmse",
         F.round("rmse_change", 6).alias("rmse_change"), F.round("rmse_change_percentage", 6).alias("rmse_change_percentage"),
         "threshold", "performance_status",
-        F.struct(*[num.select(F.struct("*")).scalar()[c].alias(c) for c in
+        F.struct(*[num_row[c].alias(c) for c in
                    ("numeric_features", "drift_features", "moderate_drift_features", "drift_percentage", "mean_psi")]
                  ).alias("_num"),
         cat.select(F.struct("*")).scalar().alias("_cat"),
