@@ -57,7 +57,7 @@ def roll3_linear_step(alpha: Column, beta: Column):
 
 def recursive_forecast(seeds: DataFrame, step_fn, steps: int = FORECAST_STEPS, key: str = "city",
                        extra_cols=()) -> DataFrame:
-    """TS3-TS5: run the recursion and return one row per (entity, step)."""
+    """TS3/TS4/TS5: run the recursion (persistence fill between steps) and return one row per (entity, step)."""
     init = F.struct(F.col("state").alias("h"), F.array().cast("array<double>").alias("preds"))
 
     def merge(acc, _i):

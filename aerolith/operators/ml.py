@@ -36,7 +36,7 @@ class ModelSpec:
 
 
 def default_specs(small: bool = True) -> list[ModelSpec]:
-    """Ridge, random forest and gradient boosting (small trees for tests, reference sizes otherwise)."""
+    """ML3/ML4/ML5: ridge, random forest and gradient boosting (small trees for tests, reference sizes otherwise)."""
     if small:
         return [ModelSpec("Ridge", "ridge"),
                 ModelSpec("RandomForest", "random_forest", {"numTrees": 20, "maxDepth": 6, "seed": 42}),
@@ -114,6 +114,36 @@ def rank_models(preds: DataFrame) -> DataFrame:
     return m.withColumn("rank", F.row_number().over(Window.orderBy("rmse", "model")).cast("bigint"))
 
 
+def compare_models(models: dict[str, PipelineModel], test: DataFrame, label: str = TARGET,
+                   fit_summary: DataFrame | None = None) -> DataFrame:
+    """ML9: MAE/RMSE/R2/MAPE and scoring time per model, ranked by RMSE; the best one is ``selected``.
+
+    Scoring time is measured per model as a full distributed scoring pass
+    into the ``noop`` sink (nothing reaches the driver). All metrics come from
+    one aggregation over the stacked (model, y, y_hat) rows.
+    """
+    from pyspark.sql import Window
+
+    from aerolith.operators.monitoring import mape
+
+    spark = test.sparkSession
+    timings = []
+    for name, m in models.items():
+        t0 = time.perf_counter()
+        m.transform(test).select("prediction").write.format("noop").mode("overwrite").save()
+        timings.append((name, round(time.perf_counter() - t0, 3)))
+    preds = stacked_predictions(models, test, label)
+    metrics = regression_metrics(preds, "y", "y_hat", groups=["model"]).join(
+        preds.groupBy("model").agg(F.round(mape(preds, "y", "y_hat"), 4).alias("mape")), "model")
+    # one row per model: the final ranking is over the number of models
+    ranked = metrics.withColumn("rank", F.row_number().over(Window.orderBy("rmse", "model")).cast("bigint"))
+    times = spark.createDataFrame(timings, "model string, scoring_seconds double")
+    out = ranked.join(times, "model", "left")
+    if fit_summary is not None:
+        out = out.join(fit_summary.select("model", "fit_seconds"), "model", "left")
+    return out.withColumn("selected", F.col("rank") == 1)
+
+
 def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
     """ML10: persist with MLlib's writer and load it back."""
     model.write().overwrite().save(path)

@@ -39,6 +39,7 @@ FROM scored WHERE station_id IS NOT NULL GROUP BY station_id""")
 
 
 def entity_mean(spark, sf):
+    """AG3: mean AQI per entity, ascending."""
     s = FX.scored(spark, sf).filter(F.col("city").isNotNull())
     return s.groupBy("city").agg(F.round(F.avg("us_aqi"), 6).alias("mean_aqi")).orderBy("mean_aqi")
 
@@ -48,6 +49,7 @@ SELECT city, round(avg(us_aqi), 6) AS mean_aqi FROM scored WHERE city IS NOT NUL
 
 
 def daily_mean(spark, sf):
+    """AG4: daily mean AQI per entity."""
     s = FX.scored(spark, sf).filter(F.col("city").isNotNull())
     return s.groupBy(F.date_trunc("day", "timestamp").alias("day"), "city").agg(
         F.round(F.avg("us_aqi"), 6).alias("mean_aqi"))

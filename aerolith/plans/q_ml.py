@@ -101,6 +101,14 @@ def model_training(spark, sf):
     return ranking.join(summary.select("model", "fit_seconds", "status"), "model", "left")
 
 
+def model_comparison(spark, sf):
+    """ML9: compare the trained models on the current slice with MAPE and scoring time; pick the best."""
+    t = split_table(spark, sf)
+    train, test = t.filter(F.col("split") == "reference"), t.filter(F.col("split") == "current")
+    fitted, summary = ML.train_models(train, ML.default_specs(small=True))
+    return ML.compare_models(fitted, test, fit_summary=summary)
+
+
 def model_persistence(spark, sf):
     """ML10: save a fitted pipeline, reload it, and compare predictions on the whole training table."""
     t = FE.drop_incomplete(FX.feats(spark, sf))
@@ -170,6 +178,6 @@ def forecast_recursive_tree(spark, sf):
 
 QUERIES.update({
     "baseline_backtest": baseline_backtest, "minmax_scaled": minmax_scaled, "sequence_regression": sequence_regression,
-    "model_training": model_training, "model_persistence": model_persistence,
+    "model_training": model_training, "model_comparison": model_comparison, "model_persistence": model_persistence,
     "forecast_recursive_mllib": forecast_recursive_mllib, "forecast_recursive_tree": forecast_recursive_tree,
 })

@@ -158,7 +158,8 @@ def _performance(t):
 
 
 def monitor_status(spark, sf):
-    """MO7/MO8/MO11: one monitoring row (drift summaries + performance + overall status)."""
+    """MO7/MO8/MO10/MO11: one monitoring row (full drift analysis: numeric and categorical
+    reports with their summaries, plus performance and overall status)."""
     t = split_table(spark, sf)
     num = M.drift_summary(M.psi_report(t, NUMERIC))
     cat = M.categorical_summary(M.tvd_report(t, CATEGORICAL))
