@@ -57,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        # executors on other machines cannot read a folder on the driver's disk
+        raise RuntimeError("set spark.checkpoint.dir to shared storage (HDFS/S3/...) for cluster runs")
     path = tempfile.mkdtemp(prefix="aerolith-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
