@@ -57,6 +57,18 @@ def tree_importance(spark, sf):
     return A.global_importance(A.fold_onehot(_tree_explained(spark, sf), KEYS))
 
 
+def tree_driver_text(spark, sf):
+    """EX5 for the forest: top-2 positive and negative drivers per explained row."""
+    return A.driver_text(A.fold_onehot(_tree_explained(spark, sf), KEYS), KEYS)
+
+
+def tree_local_explanation(spark, sf):
+    """EX6 for the forest: attributions of the latest explained row per entity, sorted by |phi|."""
+    folded = A.fold_onehot(_tree_explained(spark, sf), KEYS)
+    latest = folded.groupBy("city").agg(F.max("timestamp").alias("timestamp"))
+    return folded.join(latest, KEYS).orderBy("city", "impact_rank")
+
+
 def sample_rows(spark, sf):
     """SO7: deterministic 2 000-row sample of the training table (sampling is the feature)."""
     return A.sample_rows(FE.drop_incomplete(FX.feats(spark, sf)), KEYS).select(*KEYS, "us_aqi", "target_aqi")
@@ -115,4 +127,5 @@ QUERIES.update({
     "fold_onehot": fold_onehot, "additivity_check": additivity_check, "driver_text": driver_text,
     "local_explanation": local_explanation, "closed_form_attribution": closed_form_attribution,
     "tree_attribution": tree_attribution, "tree_additivity": tree_additivity, "tree_importance": tree_importance,
+    "tree_driver_text": tree_driver_text, "tree_local_explanation": tree_local_explanation,
 })
