@@ -18,8 +18,11 @@ from aerolith.operators.ranking import median
 
 
 def group_stats(df: DataFrame, key: str, value: str = "us_aqi", digits: int = 2,
-                half_even: bool = True) -> DataFrame:
-    """AG2/AG6: count, mean, median, min, max, sample std per group (rounded half-even by default)."""
+                half_even: bool = True, accuracy: int | None = None) -> DataFrame:
+    """AG2/AG6: count, mean, median, min, max, sample std per group (rounded half-even by default).
+
+    The median is exact unless ``accuracy`` selects the approximate sketch.
+    """
     rnd = F.bround if half_even else F.round
     v = clean_double(value)
     base = df.filter(F.col(key).isNotNull()).withColumn("_v", v)
@@ -30,7 +33,7 @@ def group_stats(df: DataFrame, key: str, value: str = "us_aqi", digits: int = 2,
         rnd(F.max("_v"), digits).alias("max"),
         rnd(F.stddev_samp("_v"), digits).alias("std"),
     )
-    med = median(base, [key], "_v").withColumn("median", rnd("median", digits))
+    med = median(base, [key], "_v", accuracy).withColumn("median", rnd("median", digits))
     return stats.join(med, key, "left").select(key, "count", "mean", "median", "min", "max", "std")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.functions.numeric import clean_double, percent_change, relative_change
-from aerolith.operators.ranking import exact_quantiles
+from aerolith.operators.ranking import quantiles
 
 # ---------------------------------------------------------------------------
 # Fixed values (thresholds of the reference monitoring).
@@ -86,8 +86,13 @@ def _long(df: DataFrame, features: list[str], side_col: str) -> DataFrame:
 
 
 def psi_report(df: DataFrame, features: list[str], side_col: str = "split", bins: int = PSI_BINS,
-               digits: int | None = 6) -> DataFrame:
-    """MO1/MO2: PSI, status, means and sample counts for every feature; sorted PSI desc, NULLs last."""
+               digits: int | None = 6, accuracy: int | None = None) -> DataFrame:
+    """MO1/MO2: PSI, status, means and sample counts for every feature; sorted PSI desc, NULLs last.
+
+    Bin edges are exact reference quantiles (linear interpolation) unless
+    ``accuracy`` is given, which switches them to the mergeable approximate
+    sketch (rank error <= n / accuracy) for very large reference slices.
+    """
     long = _long(df, features, side_col)
     is_ref, is_cur = F.col("side") == REFERENCE, F.col("side") == CURRENT
     stats = long.groupBy("feature").agg(
@@ -98,7 +103,7 @@ def psi_report(df: DataFrame, features: list[str], side_col: str = "split", bins
         F.min(F.when(is_cur, F.col("value"))).alias("_cmin"), F.max(F.when(is_cur, F.col("value"))).alias("_cmax"),
     )
     probs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(long.filter(is_ref), ["feature"], "value", probs)
+    q = quantiles(long.filter(is_ref), ["feature"], "value", probs, accuracy)
     distinct_edges = F.array_distinct(F.array_sort(F.col("quantiles")))
     edges = q.select("feature", F.when(F.size(distinct_edges) >= 2,
                                        F.slice(distinct_edges, 2, F.size(distinct_edges) - 2))

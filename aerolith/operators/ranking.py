@@ -107,6 +107,33 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[fl
     return per_group.select(*user_groups, "n", F.array(*qs).alias("quantiles"))
 
 
-def median(df: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """Exact median per group as a column ``median``."""
-    return exact_quantiles(df, groups, value, [0.5]).select(*groups, F.col("quantiles")[0].alias("median"))
+def approx_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[float],
+                     accuracy: int = 10000) -> DataFrame:
+    """Approximate quantiles per group, same output shape as ``exact_quantiles``.
+
+    One hash aggregate with Spark's mergeable ``percentile_approx`` sketch:
+    each task builds a partial sketch per group and the sketches are merged
+    after the shuffle, so a hot group costs one sketch per task and no range
+    partitioning is needed. The rank error is at most ``n / accuracy`` (the
+    returned values are data values, not interpolated). Use it when exact
+    order statistics are not required.
+    """
+    groups = list(groups)
+    v = clean_double(value)
+    vals = df.select(*groups, v.alias("_v")).filter(F.col("_v").isNotNull())
+    g = vals.groupBy(*groups) if groups else vals.groupBy()
+    return g.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx("_v", [float(p) for p in probs], accuracy).alias("quantiles"))
+
+
+def quantiles(df: DataFrame, groups: list[str], value: str, probs: list[float],
+              accuracy: int | None = None) -> DataFrame:
+    """Exact quantiles by default; ``accuracy`` switches to the approximate sketch."""
+    if accuracy:
+        return approx_quantiles(df, groups, value, probs, accuracy)
+    return exact_quantiles(df, groups, value, probs)
+
+
+def median(df: DataFrame, groups: list[str], value: str, accuracy: int | None = None) -> DataFrame:
+    """Median per group as a column ``median`` (exact unless ``accuracy`` is given)."""
+    return quantiles(df, groups, value, [0.5], accuracy).select(*groups, F.col("quantiles")[0].alias("median"))
