@@ -40,30 +40,46 @@ def asof_lookup(probes: DataFrame, history: DataFrame, key: str = "city", probe_
                 chunk: str = "hour") -> DataFrame:
     """JN4: for each probe, the latest history value at or before the probe time, else the entity's first value.
 
-    ``probe_id`` must identify a probe uniquely (results are joined back on it).
-    Adds ``asof_value`` to ``probes``. History rows with a NULL value are ignored.
+    Adds ``asof_value`` to ``probes`` (all probe columns are kept; ``probe_id``
+    is only used to order probes that share a time). History rows with a NULL
+    value are ignored.
+
+    Probes and history are unioned and windowed per (entity, ``chunk``): a
+    window partition holds one entity-chunk, so a hot entity is spread over
+    as many tasks as it has chunks. The value carried into each chunk (last
+    history value of earlier chunks, else the entity's first value) comes
+    from a table with one row per (entity, chunk). The probe rows carry their
+    own columns through the union, so their only join is that carry lookup,
+    on the keys the window already partitioned them by. There is no join
+    back on a probe id and no join on the entity alone.
     """
     h = history.filter(F.col(key).isNotNull() & F.col(value).isNotNull()).select(
-        F.col(key), F.col(ts).alias("_t"), F.col(value).alias("_v"))
-    p = probes.withColumn("_pid", F.col(probe_id))
-    p_rows = p.select(F.col(key), F.col(probe_ts).alias("_t"), F.lit(None).cast("double").alias("_v"),
-                      F.lit(1).alias("_kind"), F.col("_pid").cast("bigint").alias("_pid"))
-    h_rows = h.select(key, "_t", F.col("_v").cast("double"), F.lit(0).alias("_kind"),
-                      F.lit(None).cast("bigint").alias("_pid"))
+        F.col(key), F.col(ts).alias("_t"), F.col(value).cast("double").alias("_v"))
+    carried = [c for c in probes.columns if c != key]
+    probe_struct = F.struct(*[F.col(c) for c in carried])
+    p_rows = probes.select(F.col(key), F.col(probe_ts).alias("_t"), F.lit(None).cast("double").alias("_v"),
+                           F.lit(1).alias("_kind"), F.col(probe_id).alias("_order"), probe_struct.alias("_probe"))
+    p_schema = p_rows.schema
+    h_rows = h.select(key, "_t", "_v", F.lit(0).alias("_kind"),
+                      F.lit(None).cast(p_schema["_order"].dataType).alias("_order"),
+                      F.lit(None).cast(p_schema["_probe"].dataType).alias("_probe"))
     rows = p_rows.unionByName(h_rows).withColumn("_chunk", F.date_trunc(chunk, "_t"))
-    # last value per (entity, chunk) of the history, carried forward across chunks
+    # one row per (entity, chunk): last history value of the chunk, carried forward across chunks;
+    # before the first history value the entity's first value is used
     chunk_last = h.groupBy(key, F.date_trunc(chunk, "_t").alias("_chunk")).agg(
-        F.max_by("_v", "_t").cast("double").alias("_chunk_last"))
-    chunks = rows.select(key, "_chunk").distinct().join(chunk_last, [key, "_chunk"], "left")
+        F.max_by("_v", "_t").alias("_chunk_last"))
+    first = h.groupBy(key).agg(F.min_by("_v", "_t").alias("_first"))
+    chunks = (rows.select(key, "_chunk").distinct().join(chunk_last, [key, "_chunk"], "left")
+              .join(first, key, "left"))
     wc = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = chunks.select(key, "_chunk", F.last("_chunk_last", ignorenulls=True).over(wc).alias("_carry"))
-    wi = Window.partitionBy(key, "_chunk").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding,
-                                                                              Window.currentRow)
+    carry = chunks.select(key, "_chunk", F.coalesce(F.last("_chunk_last", ignorenulls=True).over(wc),
+                                                    F.col("_first")).alias("_carry"))
+    wi = Window.partitionBy(key, "_chunk").orderBy("_t", "_kind", "_order").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     within = rows.withColumn("_in", F.last("_v", ignorenulls=True).over(wi)).filter(F.col("_kind") == 1)
-    first = h.groupBy(key).agg(F.min_by("_v", "_t").cast("double").alias("_first"))
-    res = (within.join(carry, [key, "_chunk"], "left").join(first, key, "left")
-           .select("_pid", F.coalesce("_in", "_carry", "_first").alias("asof_value")))
-    return p.withColumn("_pid", F.col("_pid").cast("bigint")).join(res, "_pid", "left").drop("_pid")
+    res = within.join(carry, [key, "_chunk"], "left")
+    out = [F.col(key) if c == key else F.col(f"_probe.{c}").alias(c) for c in probes.columns]
+    return res.select(*out, F.coalesce("_in", "_carry").alias("asof_value"))
 
 
 def time_range_mean(grid: DataFrame, hours: int, key: str = "city", ts: str = "timestamp",
