@@ -83,7 +83,11 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[fl
     vals = df.select(*groups, v.alias("_v")).filter(F.col("_v").isNotNull())
     distinct = vals.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c"))
     pos = with_global_position(distinct, [*groups, "_v"], weight="_c", partitions=partitions)
-    # one row per group: start position and size (joined back on the group key)
+    # one row per group: start position and size (joined back on the group key). With few
+    # groups AQE broadcasts this table. With many, a hot group is one skewed partition on the
+    # distinct-value side, and AQE's skew-join split handles it, since the other side holds a
+    # single row per group. Keying the join by (range partition, group) instead was measured
+    # at +30-60 % time for the exact-quantile queries at sf0.1 and is not used.
     bounds = pos.groupBy(*groups).agg(F.min("_pos").alias("_g0"), F.sum("_c").alias("n"))
     pos = pos.join(bounds, groups)
     # rank interval of this distinct value inside its group: [lo_rank, hi_rank]
