@@ -85,22 +85,34 @@ def _fit_small(spark, kind):
         x = rng.normal(size=4)
         rows.append((i, Vectors.dense(x.tolist()), float(2 * x[0] - x[1] * x[2] + 0.1 * rng.normal())))
     df = spark.createDataFrame(rows, ["id", "features", "label"])
-    est = (RandomForestRegressor(numTrees=5, maxDepth=4, seed=1) if kind == "rf"
-           else GBTRegressor(maxIter=6, maxDepth=3, stepSize=0.3, seed=1))
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    est = {"rf": RandomForestRegressor(numTrees=5, maxDepth=4, seed=1),
+           "gbt": GBTRegressor(maxIter=6, maxDepth=3, stepSize=0.3, seed=1),
+           "tree": DecisionTreeRegressor(maxDepth=5, seed=1)}[kind]
     return est.fit(df), df
 
 
-@pytest.mark.parametrize("kind", ["rf", "gbt"])
-def test_mllib_ensemble_additivity(spark, kind):
+@pytest.mark.parametrize("kind", ["rf", "gbt", "tree"])
+def test_mllib_tree_model_additivity(spark, kind):
     from pyspark.sql import functions as F
 
     from aerolith.operators.treeshap import tree_attributions
 
     model, df = _fit_small(spark, kind)
     slots = spark.createDataFrame([(i, f"x{i}", f"x{i}") for i in range(4)], "slot_idx int, slot string, raw_feature string")
-    attr = tree_attributions(model, model.transform(df), ["id"], slots, max_nodes=40)   # forces several chunks
+    # a small node limit forces several chunks for the ensembles; a single tree is one chunk
+    attr = tree_attributions(model, model.transform(df), ["id"], slots, max_nodes=40 if kind != "tree" else 1000)
     per_row = attr.groupBy("id").agg(F.first("base_value").alias("b"), F.sum("phi").alias("s"),
                                      F.first("prediction").alias("p"), F.count(F.lit(1)).alias("n"))
     bad = per_row.filter((F.abs(F.col("b") + F.col("s") - F.col("p")) > 1e-9) | (F.col("n") != 4)).count()
     assert per_row.count() == 300
     assert bad == 0
+
+
+def test_single_tree_above_node_limit_is_rejected(spark):
+    from aerolith.operators.treeshap import tree_arrays
+
+    model, _ = _fit_small(spark, "tree")
+    with pytest.raises(ValueError, match="above max_nodes"):
+        tree_arrays(model, spark, max_nodes=8)
