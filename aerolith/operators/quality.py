@@ -80,6 +80,50 @@ def strict_cast_report(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.agg(*aggs)
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONAL = (T.FloatType, T.DoubleType)
+
+
+def strict_cast(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """PR5: cast to the contract and fail the load on any missing or unparsable number.
+
+    Numeric contract columns are parsed leniently first (bad text and NaN ->
+    NULL). One aggregation pass then counts the NULLs per numeric column, so a
+    single row reaches the driver. If any count is non-zero,
+    ``DataQualityError`` names the columns. Integral columns take the parsed
+    number truncated toward zero (decimal text such as "3.7" becomes 3), and
+    other columns are cast as declared.
+    """
+    lookup = {c.lower(): c for c in df.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in lookup]
+    if missing:
+        raise DataQualityError(f"missing required columns: {missing}")
+    casts, checked = {}, []
+    for f in schema.fields:
+        src = F.col(f"`{lookup[f.name.lower()]}`")
+        if isinstance(f.dataType, _INTEGRAL + _FRACTIONAL):
+            casts[f.name] = safe_double(src).cast(f.dataType)
+            checked.append(f.name)
+        else:
+            casts[f.name] = src.cast(f.dataType)
+    out = df.select(*[casts[f.name].alias(f.name) for f in schema.fields])
+    if checked:
+        counts = out.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in checked]).first().asDict()
+        bad = {c: n for c, n in counts.items() if n}
+        if bad:
+            raise DataQualityError(f"invalid numeric values (rows per column): {bad}")
+    return out
+
+
+def require_valid_timestamps(df: DataFrame, ts: str = "timestamp", fmt: str = TIMESTAMP_FORMAT) -> DataFrame:
+    """DQ2: parse ``ts``; any missing or unparsable time fails the load (one aggregate row to the driver)."""
+    out = df.withColumn(ts, parse_timestamp(ts, fmt))
+    bad = out.agg(F.count_if(F.col(ts).isNull()).alias("n")).first()["n"]
+    if bad:
+        raise DataQualityError(f"invalid timestamp values found: {bad} rows")
+    return out
+
+
 def union_align(*dfs: DataFrame) -> DataFrame:
     """PR6/ST1: UNION ALL by name; columns missing on one side become NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
