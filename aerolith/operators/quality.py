@@ -124,6 +124,30 @@ def require_valid_timestamps(df: DataFrame, ts: str = "timestamp", fmt: str = TI
     return out
 
 
+def validate_contract(df: DataFrame, required: list[str]) -> DataFrame:
+    """DQ1/DQ5/DQ7: required columns present, no missing value (NULL or NaN) in any of them, rows > 0.
+
+    One aggregation pass (missing count per column and the row count), so a
+    single row reaches the driver. ``DataQualityError`` lists the columns
+    with missing values. Returns ``df`` unchanged when it passes.
+    """
+    require_columns(df, required)
+    types = dict(df.dtypes)
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for c in required:
+        col = F.col(f"`{c}`")
+        miss = col.isNull() | F.isnan(col) if types[c] in ("double", "float") else col.isNull()
+        aggs.append(F.count_if(miss).alias(c))
+    counts = df.agg(*aggs).first().asDict()
+    rows = counts.pop("__rows")
+    bad = {c: n for c, n in counts.items() if n}
+    if bad:
+        raise DataQualityError(f"missing values per column: {bad}")
+    if rows == 0:
+        raise DataQualityError("dataset contains zero rows")
+    return df
+
+
 def union_align(*dfs: DataFrame) -> DataFrame:
     """PR6/ST1: UNION ALL by name; columns missing on one side become NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

@@ -35,3 +35,20 @@ def test_require_valid_timestamps(spark):
         require_valid_timestamps(raw)
     ok = require_valid_timestamps(raw.filter(F.col("obs_id") % 97 != 0))
     assert dict(ok.dtypes)["timestamp"] == "timestamp_ntz"
+
+
+def test_validate_contract(spark):
+    from aerolith.operators.features import HISTORY_FEATURES, drop_incomplete
+    from aerolith.operators.quality import DataQualityError, validate_contract
+    from aerolith.sources import fixtures as FX
+
+    feats = FX.feats(spark, SF_SMALL)
+    required = ["city", "timestamp", "us_aqi", *HISTORY_FEATURES, "target_aqi"]
+    with pytest.raises(DataQualityError, match="aqi_lag_24"):
+        validate_contract(feats, required)
+    clean = drop_incomplete(feats)
+    assert validate_contract(clean, required) is clean
+    with pytest.raises(DataQualityError, match="zero rows"):
+        validate_contract(clean.limit(0), required)
+    with pytest.raises(DataQualityError, match="missing required columns"):
+        validate_contract(clean, required + ["absent"])
