@@ -116,20 +116,27 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def sub_index(concentration: Column | str, breakpoints=PM25_BREAKPOINTS) -> Column:
+def _double_sql(x) -> str:
+    """A DOUBLE literal in SQL text (a bare ``50.0`` would be a DECIMAL)."""
+    return f"{float(x)!r}D"
+
+
+def sub_index(concentration: str, breakpoints=PM25_BREAKPOINTS) -> Column:
     """SC1: linear interpolation inside the matching breakpoint bracket.
 
     NULL / NaN / negative -> NULL; above the top bracket -> 500; inside a
     table gap -> NULL. Rounded half-to-even to an integer (``bigint``).
+    ``concentration`` is a column name. The CASE expression is written as one
+    SQL text, so building it costs one call instead of one per operator.
     """
-    c = clean_double(_col(concentration))
-    expr = F.when(c.isNull() | (c < F.lit(0.0)), F.lit(None))
+    c = f"nanvl(CAST(`{concentration}` AS DOUBLE), CAST(NULL AS DOUBLE))"
+    branches = [f"WHEN {c} IS NULL OR {c} < 0.0D THEN NULL"]
     for c_lo, c_hi, i_lo, i_hi in breakpoints:
-        c_lo_l, c_hi_l = F.lit(float(c_lo)), F.lit(float(c_hi))
-        value = (F.lit(float(i_hi)) - F.lit(float(i_lo))) / (c_hi_l - c_lo_l) * (c - c_lo_l) + F.lit(float(i_lo))
-        expr = expr.when((c >= c_lo_l) & (c <= c_hi_l), F.bround(value, 0))
-    expr = expr.when(c > F.lit(float(breakpoints[-1][1])), F.lit(float(AQI_MAX)))
-    return expr.otherwise(F.lit(None)).cast("bigint")
+        lo, hi, ilo, ihi = (_double_sql(x) for x in (c_lo, c_hi, i_lo, i_hi))
+        branches.append(f"WHEN {c} >= {lo} AND {c} <= {hi} "
+                        f"THEN bround(({ihi} - {ilo}) / ({hi} - {lo}) * ({c} - {lo}) + {ilo}, 0)")
+    branches.append(f"WHEN {c} > {_double_sql(breakpoints[-1][1])} THEN {_double_sql(AQI_MAX)}")
+    return F.expr(f"CAST(CASE {' '.join(branches)} ELSE NULL END AS BIGINT)")
 
 
 def us_aqi(pm2_5: Column | str, pm10: Column | str) -> Column:
