@@ -12,7 +12,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolith.functions.aqi import CATEGORIES, aqi_category, band_index
+from aerolith.functions.aqi import CATEGORIES, band_index
 from aerolith.functions.numeric import clean_double
 from aerolith.operators.ranking import median
 

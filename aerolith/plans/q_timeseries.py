@@ -3,11 +3,8 @@ recursive forecast with its insight tables (TS1-TS7, JN4, JN5, WN6, WN10, DQ16,
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from aerolith.functions.aqi import activity_recommendation, aqi_category
-from aerolith.functions.calendar import slot_label
 from aerolith.operators import features as FE
 from aerolith.operators import forecast as FC
 from aerolith.operators import insights as IN
