@@ -21,6 +21,8 @@ rows; extra columns are ignored by ``score`` and kept by ``filter_good``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,11 +54,11 @@ CASE WHEN size(w) < 4 THEN 0 ELSE element_at(transform(array(transform(sequence(
   END), 1) END"""
 
 
-def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """doc_id and the counts the rules use; with ``carry`` also ``row``, the input row as a struct."""
+def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id and the counts the rules use; columns to ``carry`` come along as the struct ``row``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
-    kept = ["doc_id"] + ["row"] * carry
+    row = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []
+    kept = ["doc_id", *["row"] * len(row)]
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("t"), *row)
     d = d.select(*kept, "t", F.filter(F.split("t", f"[{ASCII_SPACE}]+"), lambda x: x != "").alias("w"),
                  F.filter(F.split("t", "\n"), lambda x: x.rlike(f"[^{ASCII_SPACE}]")).alias("l"))
@@ -105,7 +107,7 @@ def filter_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     patterns = votes(counts(docs, id_col, text_col)).groupBy("votes").agg(F.count(F.lit(1)).alias("n"))
     post = checkpoint(posteriors(checkpoint(patterns)).select("votes", "posterior"))
-    v = votes(counts(docs, id_col, text_col, carry=True)).join(F.broadcast(post), "votes")
+    v = votes(counts(docs, id_col, text_col, carry=docs.columns)).join(F.broadcast(post), "votes")
     return (v.where(~F.col("base_failed") & (F.col("posterior") >= THRESHOLD))
             .select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
 
