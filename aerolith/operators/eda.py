@@ -62,18 +62,21 @@ def category_distribution(df: DataFrame, value: str = "us_aqi") -> DataFrame:
     cells = ", ".join(f"{i}, '{c}', _c{i}" for i, c in enumerate(CATEGORIES, start=1))
     out = wide.selectExpr("_n", f"stack({len(CATEGORIES)}, {cells}) AS (band, aqi_category, count)")
     return out.select("band", "aqi_category", "count",
-                      F.bround(F.col("count") / F.col("_n") * F.lit(100.0), 2).alias("percentage"))
+                      F.bround(F.try_divide("count", "_n") * F.lit(100.0), 2).alias("percentage"))
 
 
 def histogram(df: DataFrame, value: str = "us_aqi", bins: int = 40) -> DataFrame:
-    """AG11: equal-width histogram between min and max (last bin closed), empty bins omitted."""
+    """AG11: equal-width histogram between min and max (last bin closed), empty bins omitted.
+
+    A constant column has one bin, 0.
+    """
     v = clean_double(value)
     vals = df.select(v.alias("_v")).filter(F.col("_v").isNotNull())
     bounds = vals.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
     lo = bounds.select("lo").scalar()
     hi = bounds.select("hi").scalar()
     width = (hi - lo) / F.lit(float(bins))
-    idx = F.least(F.floor((F.col("_v") - lo) * (F.lit(float(bins)) / (hi - lo))), F.lit(bins - 1)).cast("bigint")
+    idx = F.least(F.coalesce(F.floor((F.col("_v") - lo) * F.try_divide(F.lit(float(bins)), hi - lo)), F.lit(0)), F.lit(bins - 1)).cast("bigint")
     return vals.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count")).select(
         "bin", F.round(lo + F.col("bin") * width, 6).alias("bin_start"), "count")
 

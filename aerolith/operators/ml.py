@@ -92,7 +92,7 @@ def train_models(train: DataFrame, specs: list[ModelSpec], label: str = TARGET,
             fitted[spec.name] = build_pipeline(spec, train, label=label, **kw).fit(train)
             rows.append((spec.name, spec.kind, round(time.perf_counter() - t0, 3), "trained", None))
         except Exception as err:  # noqa: BLE001 - continue with the other models
-            rows.append((spec.name, spec.kind, round(time.perf_counter() - t0, 3), "failed", str(err)[:500]))
+            rows.append((spec.name, spec.kind, round(time.perf_counter() - t0, 3), "failed", str(err)))
     summary = spark.createDataFrame(rows, "model string, kind string, fit_seconds double, status string, error string")
     return fitted, summary
 

@@ -38,7 +38,7 @@ REFERENCE, CURRENT = "reference", "current"
 
 
 def chronological_split(df: DataFrame, order=("timestamp", "city"), fraction: float = 0.8,
-                        min_rows: int = 10, col: str = "split") -> DataFrame:
+                        col: str = "split") -> DataFrame:
     """WN8: first ``int(n * fraction)`` rows of the total order -> reference, rest -> current.
 
     Positions without a global sort: rows are counted per time value (one
@@ -46,13 +46,12 @@ def chronological_split(df: DataFrame, order=("timestamp", "city"), fraction: fl
     running offsets are taken over that small table, and rows are numbered
     inside each time value by the remaining order columns (bounded by the
     number of entities). Deterministic, so no materialisation is needed.
-    Fewer than ``min_rows`` rows puts everything in the reference slice.
     For orders whose leading column is not a bucketed time use
     ``ranking.with_global_position``.
     """
     ts, rest = order[0], list(order[1:])
     n = df.agg(F.count(F.lit(1))).scalar()
-    cut = F.when(n >= F.lit(min_rows), F.floor(n * F.lit(float(fraction)))).otherwise(n)
+    cut = F.floor(n * F.lit(float(fraction)))
     per_ts = df.groupBy(ts).agg(F.count(F.lit(1)).alias("_n_ts"))
     # one row per distinct time value: the only single-partition step, bounded by span / grain
     offsets = per_ts.select(ts, F.coalesce(F.sum("_n_ts").over(
@@ -143,7 +142,7 @@ def tvd_report(df: DataFrame, features: list[str], side_col: str = "split", digi
         F.count_if(F.col("c") > 0).alias("current_unique_values"))
     # one row per feature: bounded by the schema, broadcast back to the category rows
     cells = per_cat.join(F.broadcast(totals), "feature")
-    diff = F.abs(F.col("r") / F.col("reference_samples") - F.col("c") / F.col("current_samples"))
+    diff = F.abs(F.try_divide("r", "reference_samples") - F.try_divide("c", "current_samples"))  # NULL where a slice is empty
     per_feat = cells.groupBy("feature", "reference_samples", "current_samples", "reference_unique_values",
                              "current_unique_values").agg((F.sum(diff) / F.lit(2.0)).alias("_tvd"))
     value = F.when((F.col("reference_samples") == 0) | (F.col("current_samples") == 0),
@@ -188,17 +187,17 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, groups: list[str] | Non
                        digits: int | None = 4) -> DataFrame:
     """AG16: MAE, RMSE, R^2 (and sample count) as plain aggregates, optionally per group.
 
-    R^2 = 1 - SSE/SST with SST from the group's own mean, computed in one pass
-    as sum(y^2) - sum(y)^2 / n.
+    R^2 = 1 - SSE/SST with SST from the group's own mean, n times the population variance
+    (merged per task without cancellation). A constant target has no R^2 (NULL).
     """
     e = F.col(yhat).cast("double") - F.col(y).cast("double")
     yy = F.col(y).cast("double")
     base = df.filter(F.col(y).isNotNull() & F.col(yhat).isNotNull())
     g = base.groupBy(*groups) if groups else base.groupBy()
     n = F.count(F.lit(1))
-    sst = F.sum(yy * yy) - F.pow(F.sum(yy), 2) / n
+    sst = F.var_pop(yy) * n
     out = g.agg(n.alias("samples"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                (F.lit(1.0) - F.sum(e * e) / sst).alias("r2"))
+                (F.lit(1.0) - F.try_divide(F.sum(e * e), sst)).alias("r2"))
     if digits is not None:
         out = out.withColumns({c: F.round(c, digits) for c in ("mae", "rmse", "r2")})
     return out

@@ -102,7 +102,9 @@ def strict_cast(df: DataFrame, schema: T.StructType) -> DataFrame:
     for f in schema.fields:
         src = F.col(f"`{lookup[f.name.lower()]}`")
         if isinstance(f.dataType, _INTEGRAL + _FRACTIONAL):
-            casts[f.name] = safe_double(src).cast(f.dataType)
+            number = safe_double(src).cast(f.dataType)
+            # integers directly: a detour over double would change them above 2^53
+            casts[f.name] = F.coalesce(src.cast("string").try_cast(f.dataType), number) if isinstance(f.dataType, _INTEGRAL) else number
             checked.append(f.name)
         else:
             casts[f.name] = src.cast(f.dataType)
@@ -168,8 +170,10 @@ def require_columns(df: DataFrame, required) -> None:
 
 # ------------------------------------------------------------------ coercion
 def parse_timestamp(c: Column | str, fmt: str = TIMESTAMP_FORMAT) -> Column:
+    """A time from a timestamp column, text in ``fmt`` or ISO text (``T``, fractions, minutes only); NULL if none of these."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(col.cast("string"), F.lit(fmt)).cast("timestamp_ntz")
+    text = col.cast("string")
+    return F.coalesce(F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz"), text.try_cast("timestamp_ntz"))
 
 
 def coerce_lenient(df: DataFrame, ts: str = "timestamp", numeric=(), key: str | None = "city",

@@ -25,8 +25,9 @@ def hourly_grid(series: DataFrame, key: str = "city", ts: str = "timestamp", val
     not lost). Adds ``observed`` (true where the hour had data).
     """
     s = (series.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-         .select(F.col(key), F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz").alias(ts), F.col(value))
-         .groupBy(key, ts).agg(F.last(value, ignorenulls=True).alias(value)))
+         .select(F.col(key), F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz").alias("_hour"),
+                 F.when(F.col(value).isNotNull(), F.col(ts)).alias("_at"), F.col(value))
+         .groupBy(key, F.col("_hour").alias(ts)).agg(F.max_by(value, "_at").alias(value)))  # the latest value of the hour
     bounds = s.groupBy(key).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
     grid = bounds.select(key, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias(ts))
     joined = grid.join(s.withColumn("_obs", F.lit(True)), [key, ts], "left")

@@ -19,23 +19,22 @@ RAW = ML.CATEGORICAL_FEATURES + ML.NUMERIC_FEATURES
 
 
 def _explained(spark, sf):
-    """Ridge pipeline (one-hot + numeric) fitted on the reference slice; a 2 000-row hash sample explained."""
+    """Ridge pipeline (one-hot + numeric) fitted on the reference slice; the whole current slice explained."""
     t = split_table(spark, sf)
     train = t.filter(F.col("split") == "reference")
     fitted, _ = ML.train_models(train, [ML.ModelSpec("Ridge", "ridge")])
-    sample = A.sample_rows(t.filter(F.col("split") == "current"), KEYS)
-    return A.linear_attributions(fitted["Ridge"], sample, train, KEYS, RAW)
+    return A.linear_attributions(fitted["Ridge"], t.filter(F.col("split") == "current"), train, KEYS, RAW)
 
 
 def _tree_explained(spark, sf):
-    """EX1 for trees: random forest (one-hot + numeric) fitted on the reference slice; the same
-    2 000-row hash sample of the current slice explained with path-dependent tree attributions."""
+    """EX1 for trees: random forest (one-hot + numeric) fitted on the reference slice; the
+    whole current slice explained with path-dependent tree attributions."""
     t = split_table(spark, sf)
     train = t.filter(F.col("split") == "reference")
     spec = [s for s in ML.default_specs(small=True) if s.kind == "random_forest"]
     fitted, _ = ML.train_models(train, spec)
     model = fitted[spec[0].name]
-    scored = model.transform(A.sample_rows(t.filter(F.col("split") == "current"), KEYS))
+    scored = model.transform(t.filter(F.col("split") == "current"))
     names = A.slot_names(scored)
     slots = spark.createDataFrame([(i, n, A.raw_feature_of(n, RAW)) for i, n in enumerate(names)],
                                   "slot_idx int, slot string, raw_feature string")

@@ -68,9 +68,9 @@ def monthly_pivot(spark, sf):
 
 
 SQL["monthly_pivot"] = O.with_views(["scored"], """
-SELECT month, round(COLUMNS(* EXCLUDE (month)), 6) FROM (
-  PIVOT (SELECT CAST(month("timestamp") AS BIGINT) AS month, city, us_aqi FROM scored WHERE city IS NOT NULL)
-  ON city USING avg(us_aqi) GROUP BY month)""")
+SELECT CAST(month("timestamp") AS BIGINT) AS month,
+  """ + ", ".join(f"round(avg(us_aqi) FILTER (WHERE city = '{c}'), 6) AS \"{c}\"" for c in ("click", "error", "purchase", "signup", "view")) + """
+FROM scored WHERE city IS NOT NULL GROUP BY 1""")
 
 
 def hourly_pattern(spark, sf):

@@ -28,13 +28,12 @@ def _grid_positions(spark, sf):
 def baseline_backtest(spark, sf):
     """TS8/AG18: per-entity and pooled metrics of three closed-form baselines."""
     preds = B.baseline_forecasts(_grid_positions(spark, sf))
-    preds.createOrReplaceTempView("aerolith_backtest_preds")
     return preds.sparkSession.sql("""
         SELECT method, coalesce(city, 'Overall') AS city, count(*) AS samples,
           round(avg(abs(y_hat - y)), 4) AS mae, round(sqrt(avg(pow(y_hat - y, 2))), 4) AS rmse,
-          round(1 - sum(pow(y_hat - y, 2)) / (sum(y * y) - pow(sum(y), 2) / count(*)), 4) AS r2
-        FROM aerolith_backtest_preds WHERE y_hat IS NOT NULL AND y IS NOT NULL
-        GROUP BY GROUPING SETS ((method, city), (method))""")
+          round(1 - try_divide(sum(pow(y_hat - y, 2)), var_pop(y) * count(*)), 4) AS r2
+        FROM {preds} WHERE y_hat IS NOT NULL AND y IS NOT NULL
+        GROUP BY GROUPING SETS ((method, city), (method))""", preds=preds)
 
 
 GRID_POS_SQL = [

@@ -249,13 +249,12 @@ SELECT count(*) AS samples, round(avg(abs(us_aqi - target_aqi)), 4) AS mae, roun
 def metrics_grouping_sets(spark, sf):
     """AG18: per-entity metric rows plus the pooled 'Overall' row via GROUPING SETS."""
     t = FE.drop_incomplete(FX.feats(spark, sf))
-    t.createOrReplaceTempView("aerolith_metrics_input")
     return t.sparkSession.sql("""
         SELECT coalesce(city, 'Overall') AS city, count(*) AS samples,
           round(avg(abs(us_aqi - target_aqi)), 4) AS mae, round(sqrt(avg(pow(us_aqi - target_aqi, 2))), 4) AS rmse,
-          round(1 - sum(pow(us_aqi - target_aqi, 2)) / (sum(target_aqi * target_aqi) - pow(sum(target_aqi), 2) / count(*)), 4) AS r2,
+          round(1 - try_divide(sum(pow(us_aqi - target_aqi, 2)), var_pop(target_aqi) * count(*)), 4) AS r2,
           round(avg(CASE WHEN target_aqi <> 0 THEN abs((target_aqi - us_aqi) / target_aqi) * 100 END), 4) AS mape
-        FROM aerolith_metrics_input GROUP BY GROUPING SETS ((city), ())""")
+        FROM {t} GROUP BY GROUPING SETS ((city), ())""", t=t)
 
 
 SQL["metrics_grouping_sets"] = O.with_views(["feats"], """

@@ -37,7 +37,7 @@ def stream_dedup_last(spark, sf):
     keys, order = ("city", "timestamp"), ("ingest_seq", "obs_id")
     stream = _dup_stream(spark, sf).drop("event_time")
     S.run_available(S.append_batches(stream, path, ckpt, keys, order), "stream_dedup_last")
-    return S.merge_batches(spark, path, keys, order)
+    return S.merge_batches(spark, path, keys, order, arrival=True)
 
 
 SQL["stream_dedup_last"] = O.with_views(["dup"], """

@@ -91,8 +91,8 @@ def read_first_available(spark: SparkSession, paths: list[str], reader) -> DataF
 
 
 def keyed_insert(df: DataFrame, path: str, keys=("city", "timestamp"), order=("ingest_seq",),
-                 batch_rows: int = 2000, partition_by: list[str] | None = None) -> str:
-    """IO12: de-duplicate on the primary key (keep last) and append in files of <= ``batch_rows`` rows."""
+                 batch_rows: int | None = None, partition_by: list[str] | None = None) -> str:
+    """IO12: de-duplicate on the primary key (keep last) and append (in files of <= ``batch_rows`` rows, if given)."""
     clean = latest_per_key(df, list(keys), list(order))
     return write_table(clean, path, "parquet", "append", partition_by, batch_rows)
 
