@@ -161,7 +161,8 @@ def _score(model: Model):
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    return fit([(r["toxic"], np.array(r["slots"], np.int32)) for r in sample(docs, labels).collect()])
+    t = sample(docs, labels).toArrow().combine_chunks()  # as arrays: a list of numbers would take ten times the memory
+    return fit([(y, s.values.to_numpy()) for y, s in zip(t.column("toxic").to_pylist(), t.column("slots"))])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
