@@ -8,8 +8,9 @@ words are never removed, so headings and short stock phrases stay.
 
 Only digests are shuffled for the grouping, and the minimum is combined before the shuffle, so
 a line that a third of all documents share costs each task one row. Digests that occur once
-are dropped before the join back, whose hot keys Spark can split (skew join). Texts are
-shuffled once, for the join with their removed spans.
+are dropped before the join back. Digests that hold more than one ``HOT``-th of all units (so at
+most ``HOT`` rows) are broadcast and joined where their units lie; the others are joined by
+digest. Texts are shuffled once, for the join with their removed spans.
 
 Defined results: a null text stays null and has no units; an empty text stays empty; rows with a
 null id rank after all others; rows with one id and one text are the same document, so all
@@ -30,6 +31,8 @@ from pyspark.sql import types as T
 from aerolith.llm.common import stored, table
 
 MIN_WORDS = 8
+#: a digest with more than one HOT-th of all units is joined by broadcast
+HOT = 1000
 #: rank of a null id
 LAST = 2**63 - 1
 UNIT_SCHEMA = "rank long, key long, line int, start int, len int, digest binary"
@@ -61,9 +64,14 @@ def removed(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
     rank, key = _keyed(docs, id_col, text_col)
     texts = docs.select(rank.alias("rank"), key.alias("key"), F.col(text_col).cast("string").alias("text")).where(F.length("text") > 0)
     units = stored(texts.mapInPandas(_units(min_words), UNIT_SCHEMA), "line-units")
-    first = (units.groupBy("digest").agg(F.min(F.struct("rank", "key", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("digest", "first"))
-    later = units.join(first, "digest").where(F.struct("rank", "key", "line") != F.col("first"))
+    first = stored(units.groupBy("digest").agg(F.min(F.struct("rank", "key", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
+                   .where("n > 1"), "line-firsts")
+    # at most HOT digests can each hold more than one HOT-th of all units
+    hot_from = F.lit(units.count() // HOT)
+    hot = F.broadcast(first.where(F.col("n") > hot_from).select("digest", "first"))
+    common = units.join(hot, "digest")
+    rest = units.join(hot, "digest", "left_anti").join(first.where(F.col("n") <= hot_from).select("digest", "first"), "digest")
+    later = common.unionByName(rest).where(F.struct("rank", "key", "line") != F.col("first"))
     return later.groupBy("rank", "key").agg(F.sort_array(F.collect_set(F.struct("start", "len"))).alias("spans"))
 
 
