@@ -47,10 +47,13 @@ def default_specs(small: bool = True) -> list[ModelSpec]:
 
 
 def preprocessor_stages(categorical=CATEGORICAL_FEATURES, numeric=NUMERIC_FEATURES):
-    """ML1: one-hot encode categoricals (unknown values ignored) and assemble with numeric columns."""
+    """ML1: one-hot encode categoricals and assemble with numeric columns.
+
+    Unknown and NULL values get the indexer's last index, whose slot is dropped, so they light none.
+    """
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical], outputCols=[f"{c}_ohe" for c in categorical],
-                        dropLast=False, handleInvalid="keep")
+                        dropLast=True, handleInvalid="error")
     asm = VectorAssembler(inputCols=list(numeric) + [f"{c}_ohe" for c in categorical], outputCol="features",
                           handleInvalid="keep")
     return [*idx, ohe, asm]

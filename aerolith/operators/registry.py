@@ -1,11 +1,11 @@
 """Model registry as an append-only table (RG1-RG5, WN11, SC15, AG19).
 
 The reference keeps a nested JSON document (model -> versions[] with
-metrics and status). Here every registration is one row of a flat table;
-status is *derived*: a version is promoted when its RMSE is strictly below
-the best RMSE of all earlier versions of that model (running minimum), the
-latest promoted (or explicitly rolled-back-to) version is ``production``,
-earlier promoted ones ``archived``, the rest ``candidate``. Registry tables
+metrics and status). Here every registration is one row of a flat table, and so
+is every rollback; status is *derived* by replaying both: a version is promoted
+when its RMSE is strictly below that of the version then in production, the
+latest promoted or rolled-back-to version is ``production``, earlier ones
+``archived``, the rest ``candidate``. Registry tables
 are metadata (one row per trained model), so per-model windows are small.
 """
 
@@ -55,32 +55,57 @@ def next_version(registry: DataFrame, model: str = "model", version: str = "vers
         .alias("next_version"))
 
 
+def _replay(runs: DataFrame, model: str, order: str, rmse: str, rollback: DataFrame | None) -> DataFrame:
+    """Registrations and rollbacks in sequence: each run with its production RMSE before, promotion and final version.
+
+    A rollback starts a new segment of the model's events, headed by its target's RMSE. Inside a
+    segment the RMSE in production is the running minimum, so windows are enough.
+    """
+    events = runs.select(F.col(model).alias("_model"), F.col(order).cast("long").alias("_seq"), F.lit(0).alias("_kind"),
+                         F.col(order).cast("long").alias("_target"), F.col(rmse).alias("_rmse"),
+                         F.struct(*[F.col(c) for c in runs.columns]).alias("_row"))
+    if rollback is not None:
+        after = F.col("after").cast("long") if "after" in rollback.columns else F.lit(2**63 - 1)
+        back = rollback.select(F.col(model).alias("_model"), F.col(order).cast("long").alias("_target"), after.alias("_seq"))
+        targets = events.select("_model", "_target", "_rmse")
+        back = back.where("_target <= _seq").join(targets, ["_model", "_target"]).withColumn("_kind", F.lit(1))
+        events = events.unionByName(back, allowMissingColumns=True)
+    seq = Window.partitionBy("_model").orderBy("_seq", "_kind", "_target")
+    events = events.withColumn("_segment", F.sum("_kind").over(seq))
+    before = (Window.partitionBy("_model", "_segment").orderBy("_seq", "_kind", "_target")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    events = events.withColumn("_prev", F.min("_rmse").over(before))
+    events = events.withColumn("_won", (F.col("_kind") == 1) | F.col("_prev").isNull() | (F.col("_rmse") < F.col("_prev")))
+    final = F.max_by("_target", F.when(F.col("_won"), F.struct("_seq", "_kind", "_target")))
+    events = events.withColumns({"_prod": final.over(Window.partitionBy("_model")),
+                                 "_back": F.max("_kind").over(Window.partitionBy("_model", "_target"))})
+    return events.where("_kind = 0")
+
+
 def champion_history(runs: DataFrame, model: str = "model", order: str = "version_no",
-                     rmse: str = "rmse") -> DataFrame:
-    """WN11/RG2: running best RMSE of earlier versions; promoted when strictly lower (or first)."""
-    w = Window.partitionBy(model).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.min(rmse).over(w)
-    return runs.withColumn("previous_best_rmse", prev).withColumn(
-        "promoted", F.col("previous_best_rmse").isNull() | (F.col(rmse) < F.col("previous_best_rmse")))
+                     rmse: str = "rmse", rollback: DataFrame | None = None) -> DataFrame:
+    """WN11/RG2: RMSE in production before each version; promoted when strictly lower (or first)."""
+    return _replay(runs, model, order, rmse, rollback).select(
+        *[F.col(f"_row.{c}").alias(c) for c in runs.columns], F.col("_prev").alias("previous_best_rmse"), F.col("_won").alias("promoted"))
 
 
 def registry_status(history: DataFrame, model: str = "model", order: str = "version_no",
-                    rollback: DataFrame | None = None) -> DataFrame:
+                    rollback: DataFrame | None = None, rmse: str = "rmse") -> DataFrame:
     """RG2/RG4: derive production / archived / candidate.
 
-    ``rollback`` (model, order) rows force that version into production
-    (RG4); otherwise the latest promoted version is production.
+    ``rollback`` holds one row per rollback: model, the version (``order``) put back into
+    production, and ``after``, the latest version registered at that time (without the column:
+    all). Versions registered later compete with the version put back. Rollbacks to versions
+    that are not registered by then are ignored; of several after the same version the
+    highest target counts last.
     """
-    latest_promoted = history.filter("promoted").groupBy(model).agg(F.max(order).alias("_prod"))
-    if rollback is not None:
-        forced = rollback.groupBy(model).agg(F.max(order).alias("_forced"))
-        latest_promoted = latest_promoted.join(forced, model, "full").select(
-            model, F.coalesce("_forced", "_prod").alias("_prod"))
-    out = history.join(latest_promoted, model, "left")
-    status = (F.when(F.col(order) == F.col("_prod"), F.lit("production"))
-              .when(F.col("promoted"), F.lit("archived"))
+    runs = history.drop("previous_best_rmse", "promoted")
+    status = (F.when(F.col("_target") == F.col("_prod"), F.lit("production"))
+              .when(F.col("_won") | (F.col("_back") == 1), F.lit("archived"))
               .otherwise(F.lit("candidate")))
-    return out.withColumn("status", status).drop("_prod")
+    return _replay(runs, model, order, rmse, rollback).select(
+        *[F.col(f"_row.{c}").alias(c) for c in runs.columns], F.col("_prev").alias("previous_best_rmse"),
+        F.col("_won").alias("promoted"), status.alias("status"))
 
 
 def production_versions(status: DataFrame, model: str = "model") -> DataFrame:

@@ -67,6 +67,26 @@ SELECT model, version_no, CASE WHEN version_no = 1 THEN 'production' WHEN promot
 FROM hist""", [("hist", HIST_SQL)])
 
 
+def rollback_then_promote(spark, sf):
+    """RG2/RG4: back to version 1 after version 5 of every model; later versions compete with it."""
+    runs = FX.runs(spark, sf)
+    back = runs.filter(F.col("version_no") == 1).select("model", "version_no", F.lit(5).alias("after"))
+    return R.registry_status(runs, rollback=back).select("model", "version_no", "status")
+
+
+SQL["rollback_then_promote"] = O.with_views(["runs"], """
+SELECT r.model, r.version_no, CASE WHEN r.version_no = p.prod THEN 'production'
+  WHEN r.version_no IN (SELECT target FROM step s WHERE s.model = r.model AND s.won) THEN 'archived' ELSE 'candidate' END AS status
+FROM runs r JOIN (SELECT model, arg_max(prod, i) AS prod FROM step GROUP BY model) p ON p.model = r.model""", [
+    ("ev", """SELECT model, version_no AS seq, 0 AS kind, version_no AS target, rmse FROM runs
+      UNION ALL SELECT model, 5, 1, 1, rmse FROM runs WHERE version_no = 1"""),
+    ("n", "SELECT *, row_number() OVER (PARTITION BY model ORDER BY seq, kind) AS i FROM ev"),
+    ("step", """SELECT model, i, target, target AS prod, rmse AS best, true AS won FROM n WHERE i = 1
+      UNION ALL SELECT n.model, n.i, n.target, CASE WHEN n.kind = 1 OR n.rmse < s.best THEN n.target ELSE s.prod END,
+        CASE WHEN n.kind = 1 OR n.rmse < s.best THEN n.rmse ELSE s.best END, n.kind = 1 OR n.rmse < s.best
+      FROM step s JOIN n ON n.model = s.model AND n.i = s.i + 1""")], recursive=True)
+
+
 def next_version(spark, sf):
     """SC15: registry version strings (some malformed) -> next version per model."""
     runs = FX.runs(spark, sf)
@@ -132,6 +152,7 @@ SELECT strftime(min("timestamp"), '%Y-%m-%d') || '_to_' || strftime(max("timesta
 QUERIES.update({
     "champion_history": champion_history, "registry_listing": registry_listing,
     "production_version": production_version, "serving_model": serving_model, "rollback": rollback,
+    "rollback_then_promote": rollback_then_promote,
     "next_version": next_version, "register_metrics": register_metrics, "model_ranking": model_ranking,
     "best_model": best_model, "dataset_version": dataset_version,
 })

@@ -106,10 +106,12 @@ SELECT city, "timestamp", obs_id, us_aqi FROM (SELECT *, row_number() OVER (PART
 
 
 def keyed_insert(spark, sf):
-    """IO12: primary-key de-duplication then batched append (files of <= 2000 rows); read back."""
+    """IO12: primary-key de-duplication, then append, twice (a repeated insert); read back with one row per key."""
     path = IO.scratch_dir(spark, "keyed")
-    IO.keyed_insert(FX.dup(spark, sf), path, ("city", "timestamp"), ("ingest_seq", "obs_id"), 2000)
-    return spark.read.parquet(path)
+    keys, order = ("city", "timestamp"), ("ingest_seq", "obs_id")
+    for _ in range(2):
+        IO.keyed_insert(FX.dup(spark, sf), path, keys, order)
+    return IO.read_keyed(spark, path, keys, order)
 
 
 SQL["keyed_insert"] = O.with_views(["dup"], """

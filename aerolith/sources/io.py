@@ -97,6 +97,11 @@ def keyed_insert(df: DataFrame, path: str, keys=("city", "timestamp"), order=("i
     return write_table(clean, path, "parquet", "append", partition_by, batch_rows)
 
 
+def read_keyed(spark: SparkSession, path: str, keys=("city", "timestamp"), order=("ingest_seq",)) -> DataFrame:
+    """IO12: a table of keyed inserts with one row per key, the newest by ``order`` across all inserts."""
+    return latest_per_key(spark.read.parquet(path), list(keys), list(order))
+
+
 def entity_dimension(spark: SparkSession) -> DataFrame:
     """IO15: the static entity dimension (fixed size, safe to broadcast)."""
     return spark.createDataFrame(ENTITY_COORDINATES, "city string, latitude double, longitude double")

@@ -2,10 +2,12 @@
 
 import datetime as dt
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolith.operators import eda, monitoring, quality, timeseries
+from aerolith.operators import eda, ml, monitoring, quality, registry, timeseries
+from aerolith.sources import io
 from aerolith.streaming import ingest
 
 
@@ -58,3 +60,26 @@ def test_latest_value_of_the_hour(spark):
     df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, 0, m), v) for m, v in ((50, 5.0), (10, 1.0), (55, None))],
                                "city string, timestamp timestamp_ntz, us_aqi double").repartition(3)
     assert [r["us_aqi"] for r in timeseries.hourly_grid(df).collect()] == [5.0]
+
+
+def test_better_version_after_rollback(spark):
+    runs = spark.createDataFrame([("m", 1, 9.0), ("m", 2, 5.0), ("m", 3, 7.0), ("m", 4, 8.0), ("k", 1, 1.0)], "model string, version_no long, rmse double")
+    back = lambda after: spark.createDataFrame([("m", 1, after), ("k", 7, 9)], "model string, version_no long, after long")
+    got = lambda after: {(r["model"], r["version_no"]): r["status"] for r in registry.registry_status(runs, rollback=back(after)).collect()}
+    # after version 2 only version 1 is in production again, so version 3 beats it and version 4 does not beat 3
+    assert got(2) == {("m", 1): "archived", ("m", 2): "archived", ("m", 3): "production", ("m", 4): "candidate", ("k", 1): "production"}
+    assert got(4) == {("m", 1): "production", ("m", 2): "archived", ("m", 3): "candidate", ("m", 4): "candidate", ("k", 1): "production"}
+
+
+def test_keys_unique_over_inserts(spark):
+    path = io.scratch_dir(spark, "inserts")
+    for seq in (1, 0):
+        io.keyed_insert(spark.createDataFrame([("a", seq, 10.0 + seq), ("b", seq, 20.0 + seq)], "city string, ingest_seq int, v double"), path, ("city",))
+    assert sorted(tuple(r) for r in io.read_keyed(spark, path, ("city",)).collect()) == [("a", 1, 11.0), ("b", 1, 21.0)]
+
+
+def test_unknown_category_has_no_slot(spark):
+    train = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "city string, x double")
+    model = Pipeline(stages=ml.preprocessor_stages(["city"], ["x"])).fit(train)
+    rows = model.transform(spark.createDataFrame([("a", 1.0), ("z", 3.0), (None, 4.0)], "city string, x double")).collect()
+    assert [r["features"].toArray().tolist() for r in rows] == [[1.0, 1.0, 0.0], [3.0, 0.0, 0.0], [4.0, 0.0, 0.0]]
