@@ -86,6 +86,19 @@ def test_substring_dedup(docs_of, none):
     assert substring_dedup.apply(none).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1, 4, 10**9])  # no digest, some or all joined by broadcast
+def test_substring_dedup_common_lines(spark, monkeypatch, hot):
+    monkeypatch.setattr(substring_dedup, "HOT", hot)
+    line = lambda x: f"{x} two three four five six seven eight"
+    texts = {i: "\n".join([line("all"), line(f"of{i % 4}"), line(f"own{i}")]) for i in range(12)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    seen, want = set(), {}
+    for i, t in texts.items():
+        want[i] = "\n".join(x for x in t.split("\n") if x not in seen)
+        seen.update(t.split("\n"))
+    assert {r["doc_id"]: r["text"] for r in substring_dedup.apply(docs).collect()} == want
+
+
 def test_decontamination(docs, none, spark):
     bench = spark.createDataFrame([(1, "A b, C d e f g h i j"), (2, "漢字"), (3, None), (None, "null id text of some"), (4, "---")], "item_id long, text string")
     got = {}
