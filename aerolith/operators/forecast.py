@@ -33,7 +33,8 @@ def seed_state(grid: DataFrame, key: str = "city", ts: str = "timestamp", value:
     """Initial state: the last 22 hourly grid values plus two copies of the last value.
 
     Per entity this reads a bounded tail (22 rows) of its hourly grid.
-    Entities with fewer than 22 grid hours are left out (coverage gate).
+    Entities with fewer than 22 grid hours, or without a value in one of them, are left out
+    (coverage gate); ``forecast_rejects`` reports them.
     """
     w = Window.partitionBy(key).orderBy(F.col(ts).desc())
     tail = grid.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= STATE_HOURS - 2)
@@ -43,10 +44,31 @@ def seed_state(grid: DataFrame, key: str = "city", ts: str = "timestamp", value:
         .alias("_pts"))
     h22 = F.transform("_pts", lambda s: s["v"])
     last = F.element_at(h22, -1)
-    return agg.filter(F.size("_pts") == STATE_HOURS - 2).select(
+    complete = F.size(F.filter("_pts", lambda s: s["v"].isNotNull())) == STATE_HOURS - 2
+    return agg.filter(complete).select(
         key, "last_timestamp", F.concat(h22, F.array(last, last)).alias("state"))
 
 
+def forecast_rejects(entities: DataFrame, series: DataFrame, key: str = "city", ts: str = "timestamp",
+                     value: str = "us_aqi") -> DataFrame:
+    """TS6: entities that cannot be forecast: key, grid hours, reason.
+
+    NO_DATA: no timed row; TOO_FEW_HOURS: the grid is shorter than the state; MISSING_VALUE: the
+    first value lies inside the last 22 grid hours, or there is none. Forward fill leaves gaps
+    only before the first value, so one aggregate over the series tells all three without a grid.
+    """
+    hour = F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz")
+    spans = series.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key).agg(
+        F.min(hour).alias("_lo"), F.min(F.when(F.col(value).isNotNull(), hour)).alias("_first"), F.max(hour).alias("_hi"))
+    length = lambda lo: F.coalesce(F.timestamp_diff("HOUR", F.col(lo), F.col("_hi")) + 1, F.lit(0)).cast("bigint")
+    need = STATE_HOURS - 2
+    out = entities.select(key).filter(F.col(key).isNotNull()).distinct().join(spans, key, "left").select(
+        key, length("_lo").alias("hours"), length("_first").alias("_known"))
+    reason = (F.when(F.col("hours") == 0, F.lit("NO_DATA")).when(F.col("hours") < need, F.lit("TOO_FEW_HOURS"))
+              .otherwise(F.lit("MISSING_VALUE")))
+    return out.filter(F.col("_known") < need).select(key, "hours", reason.alias("reason"))
+
+
 def roll3_linear_step(alpha: Column, beta: Column):
     """Model step for the closed-form model: prediction from the 24-hour state, clipped to [0, 500]."""
     def step(h: Column) -> Column:

@@ -98,6 +98,21 @@ def forecast_table(spark, sf):
     return FC.label_forecast(fc, MODEL_NAME, MODEL_VERSION)
 
 
+def forecast_rejects(spark, sf):
+    """TS6: stations whose observations do not suffice for a forecast, with the reason."""
+    scored = FX.scored(spark, sf)
+    return FC.forecast_rejects(scored, scored, "station_id")
+
+
+SQL["forecast_rejects"] = O.with_views(["scored"], """
+SELECT station_id, CASE WHEN hi IS NULL THEN 0 ELSE date_diff('hour', lo, hi) + 1 END::BIGINT AS hours,
+  CASE WHEN hi IS NULL THEN 'NO_DATA' WHEN date_diff('hour', lo, hi) + 1 < 22 THEN 'TOO_FEW_HOURS' ELSE 'MISSING_VALUE' END AS reason
+FROM (SELECT station_id, date_trunc('hour', min("timestamp")) AS lo, date_trunc('hour', max("timestamp")) AS hi,
+    date_trunc('hour', min("timestamp") FILTER (WHERE us_aqi IS NOT NULL)) AS first_known
+  FROM scored WHERE station_id IS NOT NULL GROUP BY station_id)
+WHERE first_known IS NULL OR date_diff('hour', first_known, hi) + 1 < 22""")
+
+
 FORECAST_VIEWS = CHOSEN_VIEWS + [
     ("train", TRAIN_SQL),
     ("fgrid", """SELECT g.city, g.ts, last_value(c.us_aqi IGNORE NULLS) OVER (PARTITION BY g.city ORDER BY g.ts
@@ -292,7 +307,7 @@ SELECT (SELECT count(*) FROM fc) AS forecast_rows, (SELECT count(DISTINCT city)
 
 QUERIES.update({
     "hourly_grid_ffill": hourly_grid_ffill, "asof_lookup": asof_lookup, "time_range_mean": time_range_mean,
-    "source_preference": source_preference, "forecast_recursive": forecast_recursive,
+    "source_preference": source_preference, "forecast_recursive": forecast_recursive, "forecast_rejects": forecast_rejects,
     "forecast_checks": forecast_checks, "forecast_calendar": forecast_calendar, "next_step_input": next_step_input,
     "forecast_summary": forecast_summary, "daily_forecast": daily_forecast, "nearest_horizon": nearest_horizon,
     "alerts": alerts, "activity_windows": activity_windows, "entity_comparison": entity_comparison,

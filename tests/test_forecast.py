@@ -1,9 +1,12 @@
 """Forecast contract and array-state recursion vs a naive hourly-series recursion."""
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 
 import __spark_entry__ as entry
+from aerolith.operators import forecast, timeseries
 from conftest import SF_SMALL
 
 
@@ -50,3 +53,14 @@ def test_array_state_equals_naive_recursion(spark):
     fc = FC.recursive_forecast(seeds, FC.roll3_linear_step(F.lit(alpha), F.lit(beta))).orderBy("forecast_step").toPandas()
     naive = _naive(pd.Series(vals, index=idx), alpha, beta)
     assert np.allclose(fc["predicted_aqi"].to_numpy(), np.round(naive, 2), atol=0.011)
+
+
+def test_rejects_have_reasons_and_no_seeds(spark):
+    hours = lambda city, n, first=0: [(city, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), 50.0 if i >= first else None) for i in range(n)]
+    rows = hours("full", 22) + hours("short", 21) + hours("late", 30, first=9) + hours("just", 30, first=8) + hours("blank", 30, first=99)
+    series = spark.createDataFrame(rows, "city string, timestamp timestamp_ntz, us_aqi double")
+    entities = series.select("city").union(spark.createDataFrame([("unseen",), (None,)], "city string"))
+    got = {r["city"]: (r["hours"], r["reason"]) for r in forecast.forecast_rejects(entities, series).collect()}
+    assert got == {"short": (21, "TOO_FEW_HOURS"), "late": (30, "MISSING_VALUE"), "blank": (30, "MISSING_VALUE"), "unseen": (0, "NO_DATA")}
+    seeded = {r["city"] for r in forecast.seed_state(timeseries.hourly_grid(series)).collect()}
+    assert seeded == {"full", "just"}
