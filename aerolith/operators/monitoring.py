@@ -50,16 +50,16 @@ def chronological_split(df: DataFrame, order=("timestamp", "city"), fraction: fl
     ``ranking.with_global_position``.
     """
     ts, rest = order[0], list(order[1:])
-    n = df.agg(F.count(F.lit(1))).scalar()
-    cut = F.floor(n * F.lit(float(fraction)))
     per_ts = df.groupBy(ts).agg(F.count(F.lit(1)).alias("_n_ts"))
+    cut = F.floor(F.col("_n") * F.lit(float(fraction)))
     # one row per distinct time value: the only single-partition step, bounded by span / grain
     offsets = per_ts.select(ts, F.coalesce(F.sum("_n_ts").over(
-        Window.orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+        Window.orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_n_ts").over(Window.orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"))
     within = F.row_number().over(Window.partitionBy(ts).orderBy(*rest)) - 1
     pos = df.join(offsets, ts).withColumn("_split_pos", F.col("_off") + within)
     return pos.withColumn(col, F.when(F.col("_split_pos") < cut, F.lit(REFERENCE)).otherwise(F.lit(CURRENT))) \
-        .drop("_split_pos", "_off")
+        .drop("_split_pos", "_off", "_n")
 
 
 def classify_psi(psi: Column) -> Column:
@@ -93,36 +93,32 @@ def psi_report(df: DataFrame, features: list[str], side_col: str = "split", bins
     sketch (rank error <= n / accuracy) for very large reference slices.
     """
     long = _long(df, features, side_col)
-    is_ref, is_cur = F.col("side") == REFERENCE, F.col("side") == CURRENT
-    stats = long.groupBy("feature").agg(
-        F.count_if(is_ref).alias("reference_samples"), F.count_if(is_cur).alias("current_samples"),
-        F.avg(F.when(is_ref, F.col("value"))).alias("reference_mean"),
-        F.avg(F.when(is_cur, F.col("value"))).alias("current_mean"),
-        F.min(F.when(is_ref, F.col("value"))).alias("_rmin"), F.max(F.when(is_ref, F.col("value"))).alias("_rmax"),
-        F.min(F.when(is_cur, F.col("value"))).alias("_cmin"), F.max(F.when(is_cur, F.col("value"))).alias("_cmax"),
-    )
     probs = [i / bins for i in range(bins + 1)]
-    q = quantiles(long.filter(is_ref), ["feature"], "value", probs, accuracy)
-    distinct_edges = F.array_distinct(F.array_sort(F.col("quantiles")))
-    edges = q.select("feature", F.when(F.size(distinct_edges) >= 2,
-                                       F.slice(distinct_edges, 2, F.size(distinct_edges) - 2))
-                     .otherwise(F.array().cast("array<double>")).alias("inner"))
+    q = quantiles(long.filter(F.col("side") == REFERENCE), ["feature"], "value", probs, accuracy, bounded_groups=True)
+    edges = q.selectExpr("feature", "array_distinct(array_sort(quantiles)) AS _e").selectExpr(
+        "feature", "slice(_e, 2, greatest(size(_e) - 2, 0)) AS inner")
     # one row per feature: bounded by the schema, safe to broadcast
-    binned = long.join(F.broadcast(edges), "feature").withColumn(
-        "bin", F.size(F.filter("inner", lambda e: e < F.col("value"))))
-    counts = binned.groupBy("feature", "bin").agg(F.count_if(is_ref).alias("r"), F.count_if(is_cur).alias("c"))
-    grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("inner"))).alias("bin"))
-    cells = grid.join(counts, ["feature", "bin"], "left").fillna({"r": 0, "c": 0}).join(stats, "feature")
-    pr = F.greatest(F.col("r") / F.greatest(F.col("reference_samples"), F.lit(1)), F.lit(EPSILON))
-    pc = F.greatest(F.col("c") / F.greatest(F.col("current_samples"), F.lit(1)), F.lit(EPSILON))
-    raw = cells.groupBy("feature").agg(F.sum((pc - pr) * F.log(pc / pr)).alias("_psi"))
-    out = stats.join(raw, "feature", "left")
-    psi = (F.when((F.col("reference_samples") == 0) | (F.col("current_samples") == 0), F.lit(None).cast("double"))
-           .when(F.col("_rmin") == F.col("_rmax"),
-                 F.when((F.col("_cmin") == F.col("_cmax")) & (F.col("_cmin") == F.col("_rmin")), F.lit(0.0))
-                 .otherwise(F.lit(float("inf"))))
-           .otherwise(F.col("_psi")))
-    out = out.withColumn("psi", psi).withColumn("status", classify_psi(F.col("psi")))
+    binned = long.join(F.broadcast(edges), "feature", "left").withColumn(
+        "bin", F.expr("coalesce(size(filter(inner, e -> e < value)), 0)"))
+    side = lambda f, s, name: F.expr(f"{f}(IF(side = '{s}', value, NULL)) AS {name}")
+    cells = binned.groupBy("feature", "bin").agg(*[
+        side(f, s, f"{f}_{k}") for k, s in (("r", REFERENCE), ("c", CURRENT)) for f in ("count", "sum", "min", "max")])
+    # a bin empty on both sides adds nothing to the index, so only the bins found are listed (at most ``bins`` per feature)
+    per = cells.groupBy("feature").agg(
+        F.sum("count_r").alias("reference_samples"), F.sum("count_c").alias("current_samples"),
+        F.sum("sum_r").alias("_sr"), F.sum("sum_c").alias("_sc"), F.min("min_r").alias("_rmin"), F.max("max_r").alias("_rmax"),
+        F.min("min_c").alias("_cmin"), F.max("max_c").alias("_cmax"),
+        F.array_sort(F.collect_list(F.struct("bin", "count_r", "count_c"))).alias("_cells"))
+    share = lambda n, total: f"greatest(x.{n} / greatest({total}, 1), {EPSILON}D)"
+    pr, pc = share("count_r", "reference_samples"), share("count_c", "current_samples")
+    index = f"aggregate(_cells, 0D, (a, x) -> a + ({pc} - {pr}) * ln({pc} / {pr}))"
+    out = per.selectExpr(
+        "feature", "reference_samples", "current_samples", "try_divide(_sr, reference_samples) AS reference_mean",
+        "try_divide(_sc, current_samples) AS current_mean",
+        f"""CASE WHEN reference_samples = 0 OR current_samples = 0 THEN NULL
+            WHEN _rmin = _rmax THEN IF(_cmin = _cmax AND _cmin = _rmin, 0D, double('Infinity'))
+            ELSE {index} END AS psi""")
+    out = out.withColumn("status", classify_psi(F.col("psi")))
     if digits is not None:
         out = out.withColumns({c: F.round(c, digits) for c in ("psi", "reference_mean", "current_mean")})
     return out.select("feature", "psi", "status", "reference_mean", "current_mean",

@@ -1,6 +1,8 @@
-"""Distributed global positions and exact quantiles (WN8, MO1 edges, AG2/AG6/AG11 medians).
+"""Distributed global positions (WN8) and exact quantiles (MO1 edges, AG2/AG6/AG11 medians).
 
-Neither operator sorts the whole input in one task or buffers a whole group:
+Neither operator sorts the whole input in one task or buffers a whole group.
+
+``with_global_position``:
 
 1. the input is range-partitioned on the ordering key (Spark samples the key
    to pick balanced bounds), so partition ``p`` holds a contiguous key range;
@@ -11,9 +13,12 @@ Neither operator sorts the whole input in one task or buffers a whole group:
 3. per-partition totals (one row per partition, a table whose size is the
    partition count, a parameter) give each partition its starting offset.
 
-``exact_quantiles`` first collapses duplicate values with a hash aggregate
-(map-side combined), so a value repeated a billion times is one row with a
-count; positions are then weighted by that count. Results equal DuckDB
+``exact_quantiles`` needs no sort of the input, no range exchange and no
+checkpoint. A mergeable sketch brackets each wanted rank between two values; a
+second hash aggregate counts the values inside the brackets one by one and all
+others per gap between brackets (map-side combined, so a value repeated a
+billion times is one row with a count). Only that table, about ``4 n / accuracy``
+distinct values per probability, is ordered. Results equal DuckDB
 ``quantile_cont`` / pandas ``quantile`` (linear interpolation).
 """
 
@@ -68,47 +73,51 @@ def with_global_position(df: DataFrame, order: list[Column | str], weight: str |
 
 
 def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[float],
-                    partitions: int | None = None) -> DataFrame:
+                    accuracy: int = 10000, bounded_groups: bool = False) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group.
 
     Returns one row per group: ``groups``..., ``n`` (non-null values) and
     ``quantiles`` (array of doubles aligned with ``probs``). NULL/NaN values
-    are ignored; a group without values yields no row.
+    and NULL groups are ignored; a group without values yields no row.
+
+    ``accuracy`` sets the width of the brackets, never the result.
+    ``bounded_groups`` says that the number of groups is bounded by the
+    schema or a small dimension, so the brackets may be broadcast.
     """
     groups = list(groups)
-    user_groups = list(groups)
-    if not groups:
-        df, groups = df.withColumn("_all", F.lit(0)), ["_all"]
-    v = clean_double(value)
-    vals = df.select(*groups, v.alias("_v")).filter(F.col("_v").isNotNull())
-    distinct = vals.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    pos = with_global_position(distinct, [*groups, "_v"], weight="_c", partitions=partitions)
-    # one row per group: start position and size (joined back on the group key). With few
-    # groups AQE broadcasts this table. With many, a hot group is one skewed partition on the
-    # distinct-value side, and AQE's skew-join split handles it, since the other side holds a
-    # single row per group. Keying the join by (range partition, group) instead was measured
-    # at +30-60 % time for the exact-quantile queries at sf0.1 and is not used.
-    bounds = pos.groupBy(*groups).agg(F.min("_pos").alias("_g0"), F.sum("_c").alias("n"))
-    pos = pos.join(bounds, groups)
-    # rank interval of this distinct value inside its group: [lo_rank, hi_rank]
-    pos = pos.withColumn("_r0", F.col("_pos") - F.col("_g0")).withColumn("_r1", F.col("_r0") + F.col("_c") - 1)
-    # one conditional aggregation per group: for every probability the values
-    # holding the floor/ceil ranks of the interpolation point (distinct-value
-    # rows are scanned once; no per-group buffering)
-    rn = (F.col("n") - 1).cast("double")
-    aggs = []
-    for i, p in enumerate(probs):
-        pos_i = rn * F.lit(float(p))
-        lo, hi = F.floor(pos_i), F.ceil(pos_i)
-        aggs.append(F.max(F.when(lo.between(F.col("_r0"), F.col("_r1")), F.col("_v"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(hi.between(F.col("_r0"), F.col("_r1")), F.col("_v"))).alias(f"_hi{i}"))
-    per_group = pos.groupBy(*groups, "n").agg(*aggs)
-    qs = []
-    for i, p in enumerate(probs):
-        pos_i = (F.col("n") - 1).cast("double") * F.lit(float(p))
-        frac = pos_i - F.floor(pos_i)
-        qs.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * frac)
-    return per_group.select(*user_groups, "n", F.array(*qs).alias("quantiles"))
+    vals = df.select(*groups, clean_double(value).alias("_v")).filter(F.col("_v").isNotNull())
+    doubles = lambda xs: "array(" + ", ".join(f"{float(x)!r}D" for x in xs) + ")"
+    # pass 1: one sketch per group gives for each probability two values around the wanted rank;
+    # its rank error is n / accuracy, so twice that on either side is safe once n is well above accuracy
+    points = [min(max(p + d, 0.0), 1.0) for p in map(float, probs) for d in (-2.0 / accuracy, 2.0 / accuracy)]
+    sketch = vals.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", points, accuracy).alias("_q"))
+    whole = f"n <= {4 * accuracy}"   # rounded ranks weigh too much in small groups: keep all their values
+    brackets = sketch.select(*groups, "n", F.expr(f"""transform(sequence(0, {len(probs) - 1}), i -> struct(
+        IF({whole} OR {doubles(points)}[2 * i] <= 0D, _min, _q[2 * i]) AS lo,
+        IF({whole} OR {doubles(points)}[2 * i + 1] >= 1D, _max, _q[2 * i + 1]) AS hi))""").alias("_b"))
+    # pass 2: a value inside a bracket stands for itself; all values between two brackets stand for
+    # one row of the gap, placed right after the end of the bracket below
+    if groups:
+        placed = vals.join(F.broadcast(brackets) if bounded_groups else brackets, groups)
+    else:
+        placed = vals.withColumn("_s", brackets.select(F.struct("n", "_b")).scalar()).select("_v", "_s.n", "_s._b")
+    below = "aggregate(_b, double('-Infinity'), (a, b) -> IF(b.hi < _v, greatest(a, b.hi), a))"
+    counted = placed.withColumn("_gap", F.expr("NOT exists(_b, b -> _v BETWEEN b.lo AND b.hi)")) \
+        .withColumn("_v", F.expr(f"IF(_gap, {below}, _v)")) \
+        .groupBy(*groups, "n", "_v", "_gap").agg(F.count(F.lit(1)).alias("_c"))
+    end = F.sum("_c").over(Window.partitionBy(*(groups or [F.lit(0)])).orderBy("_v", "_gap")
+                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("_r1", end - 1).withColumn("_r0", F.expr("_r1 - _c + 1"))
+    # the rows that hold the floor or ceil rank of a point: at most two per probability and group
+    held = ranked.filter(F.expr(f"""exists({doubles(probs)}, p -> floor(p * (n - 1)) BETWEEN _r0 AND _r1
+        OR ceil(p * (n - 1)) BETWEEN _r0 AND _r1)"""))
+    points_of = held.groupBy(*groups, "n").agg(F.collect_list(F.expr(
+        "struct(_r0, _r1, IF(_gap, raise_error('quantile outside its bracket'), _v) AS v)")).alias("_h"))
+    at = lambda f: f"element_at(filter(_h, x -> {f}(p * (n - 1)) BETWEEN x._r0 AND x._r1), 1).v"
+    return points_of.select(*groups, "n", F.expr(f"""transform({doubles(probs)}, p ->
+        {at('floor')} + ({at('ceil')} - {at('floor')}) * (p * (n - 1) - floor(p * (n - 1))))""").alias("quantiles"))
 
 
 def approx_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[float],
@@ -131,11 +140,11 @@ def approx_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[f
 
 
 def quantiles(df: DataFrame, groups: list[str], value: str, probs: list[float],
-              accuracy: int | None = None) -> DataFrame:
+              accuracy: int | None = None, bounded_groups: bool = False) -> DataFrame:
     """Exact quantiles by default; ``accuracy`` switches to the approximate sketch."""
     if accuracy:
         return approx_quantiles(df, groups, value, probs, accuracy)
-    return exact_quantiles(df, groups, value, probs)
+    return exact_quantiles(df, groups, value, probs, bounded_groups=bounded_groups)
 
 
 def median(df: DataFrame, groups: list[str], value: str, accuracy: int | None = None) -> DataFrame:
