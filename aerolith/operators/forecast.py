@@ -21,6 +21,7 @@ FORECAST_STEPS = 24
 STEP_HOURS = 3
 STATE_HOURS = 24
 METHOD = "recursive_multi_step"
+CALENDAR_INPUTS = ["hour", "day", "month", "is_weekend"]
 
 
 def fit_roll3_linear(train: DataFrame, y: str = "target_aqi", x: str = "aqi_roll_3", digits: int = 6) -> DataFrame:
@@ -71,19 +72,63 @@ def forecast_rejects(entities: DataFrame, series: DataFrame, key: str = "city",
 
 def roll3_linear_step(alpha: Column, beta: Column):
     """Model step for the closed-form model: prediction from the 24-hour state, clipped to [0, 500]."""
-    def step(h: Column) -> Column:
+    def step(h: Column, _i: Column) -> Column:
         roll3 = (F.element_at(h, 22) + F.element_at(h, 23) + F.element_at(h, 24)) / F.lit(3.0)
         return F.least(F.greatest(alpha + beta * roll3, F.lit(0.0)), F.lit(500.0))
     return step
 
 
+def held_row(series: DataFrame, columns: list[str], key: str = "city", ts: str = "timestamp") -> DataFrame:
+    """TS5: the inputs held over the horizon: ``columns`` of each entity's latest row that has them all."""
+    last = F.max_by(F.struct(*columns), F.struct(F.col(ts), *columns))
+    return series.dropna(subset=[key, ts, *columns]).groupBy(key).agg(last.alias("_h")).select(key, "_h.*")
+
+
+def step_inputs(h: Column, at: Column, held: list[str]) -> dict[str, Column]:
+    """TS3/TS7: the full model input at forecast time ``at``: held columns, calendar of ``at``, lags and means of the state ``h``."""
+    mean_last = lambda k: F.aggregate(F.slice(h, STATE_HOURS + 1 - k, k), F.lit(0.0), lambda a, x: a + x) / F.lit(float(k))
+    calendar = calendar_columns(at)
+    return {
+        **{c: F.col(c) for c in held}, **{c: calendar[c] for c in CALENDAR_INPUTS}, "us_aqi": F.element_at(h, STATE_HOURS),
+        **{f"aqi_lag_{k}": F.element_at(h, STATE_HOURS + 1 - k) for k in (1, 3, 6, 24)},
+        **{f"aqi_roll_{k}": mean_last(k) for k in (3, 6, 24)},
+    }
+
+
+def fit_averaged_linear(train: DataFrame, features: list[str], y: str = "target_aqi", digits: int = 8) -> DataFrame:
+    """Mean of the one-feature least-squares models of all ``features``, from one aggregation: one row (intercept, weights).
+
+    A feature without variance (or without values) adds the mean of ``y``.
+    """
+    k, target = len(features), f"double({y})"
+    slope = lambda f: f"coalesce(regr_slope({target}, double({f})), 0D)"
+    base = " + ".join(f"coalesce(regr_intercept({target}, double({f})), avg({target}))" for f in features)
+    return train.agg(F.expr(f"round(({base}) / {k}, {digits})").alias("intercept"),
+                     F.expr(f"array({', '.join(f'round({slope(f)} / {k}, {digits})' for f in features)})").alias("weights"))
+
+
+def linear_step(intercept: Column, weights: list[Column], features: list[str], held: list[str]):
+    """Model step for a linear model over the full input, clipped to [0, 500]; the calendar follows the step."""
+    def step(h: Column, i: Column) -> Column:
+        at = F.col("last_timestamp") + F.make_dt_interval(F.lit(0), i * F.lit(STEP_HOURS))
+        x = step_inputs(h, at, held)
+        y = intercept
+        for w, f in zip(weights, features):
+            y = y + w * x[f].cast("double")
+        return F.least(F.greatest(y, F.lit(0.0)), F.lit(500.0))
+    return step
+
+
 def recursive_forecast(seeds: DataFrame, step_fn, steps: int = FORECAST_STEPS, key: str = "city",
                        extra_cols=()) -> DataFrame:
-    """TS3/TS4/TS5: run the recursion (persistence fill between steps) and return one row per (entity, step)."""
+    """TS3/TS4/TS5: run the recursion (persistence fill between steps) and return one row per (entity, step).
+
+    ``step_fn(state, step)`` gives the prediction of a step (from 1) as a column over the seed's columns.
+    """
     init = F.struct(F.col("state").alias("h"), F.array().cast("array<double>").alias("preds"))
 
-    def merge(acc, _i):
-        p = step_fn(acc["h"])
+    def merge(acc, i):
+        p = step_fn(acc["h"], i)
         return F.struct(F.concat(F.slice(acc["h"], 4, STATE_HOURS - 3), F.array(p, p, p)).alias("h"),
                         F.concat(acc["preds"], F.array(p)).alias("preds"))
 

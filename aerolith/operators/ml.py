@@ -161,7 +161,7 @@ def linear_coefficients(model: PipelineModel) -> tuple[float, list[float]]:
 
 def fit_state_model(train: DataFrame, features: list[str], label: str = TARGET, kind: str = "ridge",
                     params: dict | None = None) -> PipelineModel:
-    """Model over the state-derived features only (inputs of the recursive forecast)."""
+    """Model over numeric ``features`` only (inputs of the recursive forecast)."""
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
     spec = ModelSpec(kind, kind, params or {})
     return Pipeline(stages=[asm, estimator(spec, train, label)]).fit(train)

@@ -93,13 +93,16 @@ def time_range_mean(grid: DataFrame, hours: int, key: str = "city", ts: str = "t
 
 
 def source_preference(realtime: DataFrame, historical: DataFrame, key: str = "city", ts: str = "timestamp",
-                      min_hours: float = 24.0) -> DataFrame:
-    """JN5: per entity, use the real-time series when it covers >= ``min_hours``, else the historical one.
+                      min_hours: float = 24.0, required: list[str] = ("us_aqi",)) -> DataFrame:
+    """JN5: per entity, use the real-time series when it covers >= ``min_hours`` and its latest row
+    has all ``required`` columns (DQ15), else the historical one.
 
     Returns the chosen rows with a ``data_source`` column; entities in neither
     source are absent (the caller reports them as rejects).
     """
-    eligible = history_coverage(realtime, key, ts, min_hours).filter("sufficient").select(key)
+    latest = realtime.groupBy(key).agg(F.max_by(F.struct(*required), F.struct(F.col(ts), *required)).alias("_r")) \
+        .filter(F.expr(" AND ".join(f"_r.`{c}` IS NOT NULL" for c in required) or "true"))
+    eligible = history_coverage(realtime, key, ts, min_hours).filter("sufficient").select(key).join(latest, key, "left_semi")
     rt = realtime.join(eligible, key, "left_semi").withColumn("data_source", F.lit(REALTIME))
     hist = historical.join(eligible, key, "left_anti").withColumn("data_source", F.lit(HISTORICAL))
     return rt.unionByName(hist)

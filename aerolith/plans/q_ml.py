@@ -13,12 +13,12 @@ from aerolith.operators import timeseries as TS
 from aerolith.operators.monitoring import regression_metrics
 from aerolith.plans import oracle as O
 from aerolith.plans.q_monitoring import split_table
+from aerolith.plans.q_timeseries import FULL_INPUTS, HELD, full_seeds
 from aerolith.session import cut_lineage
 from aerolith.sources import fixtures as FX
 from aerolith.sources.io import scratch_dir
 
 QUERIES, SQL = {}, {}
-STATE_FEATURES = ["aqi_lag_1", "aqi_lag_3", "aqi_lag_6", "aqi_lag_24", "aqi_roll_3", "aqi_roll_6", "aqi_roll_24"]
 
 
 def _grid_positions(spark, sf):
@@ -121,52 +121,31 @@ def model_persistence(spark, sf):
 
 
 def forecast_recursive_mllib(spark, sf):
-    """TS5 with an MLlib ridge model over state-derived features, recursed in one aggregate() per entity."""
+    """TS5 with an MLlib ridge model over the full input, recursed in one aggregate() per entity."""
     hourly = cut_lineage(FX.series(spark, sf))   # one scan of the raw observations for all branches
     train = FE.drop_incomplete(FX.feats(spark, sf, hourly))
-    model = ML.fit_state_model(train, STATE_FEATURES)
+    model = ML.fit_state_model(train, FULL_INPUTS)
     b0, w = ML.linear_coefficients(model)   # #features doubles: the model itself, not data
-    rt, hist = FX.series_halves(spark, sf, hourly)
-    chosen = TS.source_preference(rt, hist)
-    seeds = FC.seed_state(TS.hourly_grid(chosen.select("city", "timestamp", "us_aqi"))) \
-        .join(chosen.select("city", "data_source").distinct(), "city")
-
-    def step(h):
-        mean_last = lambda k: F.aggregate(F.slice(h, 25 - k, k), F.lit(0.0), lambda a, x: a + x) / F.lit(float(k))
-        feats = [F.element_at(h, 24), F.element_at(h, 22), F.element_at(h, 19), F.element_at(h, 1),
-                 mean_last(3), mean_last(6), mean_last(24)]
-        y = F.lit(b0)
-        for wi, x in zip(w, feats):
-            y = y + F.lit(wi) * x
-        return F.least(F.greatest(y, F.lit(0.0)), F.lit(500.0))
-
-    fc = FC.recursive_forecast(seeds, step, extra_cols=["data_source"])
+    step = FC.linear_step(F.lit(b0), [F.lit(x) for x in w], FULL_INPUTS, HELD)
+    fc = FC.recursive_forecast(full_seeds(spark, sf, hourly), step, extra_cols=["data_source"])
     return FC.label_forecast(fc, "Ridge", "v1")
 
 
 def forecast_recursive_tree(spark, sf):
-    """TS5 with a tree ensemble: one MLlib transform per step over all entities; lineage cut by checkpoint."""
+    """TS5 with a tree ensemble over the full input: one MLlib transform per step over all entities; lineage cut by checkpoint."""
     hourly = cut_lineage(FX.series(spark, sf))   # one scan of the raw observations for all branches
     train = FE.drop_incomplete(FX.feats(spark, sf, hourly))
-    model = ML.fit_state_model(train, STATE_FEATURES, kind="gbt", params={"maxIter": 10, "maxDepth": 4, "seed": 42})
-    rt, hist = FX.series_halves(spark, sf, hourly)
-    chosen = TS.source_preference(rt, hist)
-    state = FC.seed_state(TS.hourly_grid(chosen.select("city", "timestamp", "us_aqi"))) \
-        .join(chosen.select("city", "data_source").distinct(), "city") \
-        .withColumn("preds", F.array().cast("array<double>"))
-    h = F.col("state")
-    mean_last = lambda k: F.aggregate(F.slice(h, 25 - k, k), F.lit(0.0), lambda a, x: a + x) / F.lit(float(k))
-    for _ in range(FC.FORECAST_STEPS):
-        x = state.withColumns({
-            "aqi_lag_1": F.element_at(h, 24), "aqi_lag_3": F.element_at(h, 22), "aqi_lag_6": F.element_at(h, 19),
-            "aqi_lag_24": F.element_at(h, 1), "aqi_roll_3": mean_last(3), "aqi_roll_6": mean_last(6),
-            "aqi_roll_24": mean_last(24)})
+    model = ML.fit_state_model(train, FULL_INPUTS, kind="gbt", params={"maxIter": 10, "maxDepth": 4, "seed": 42})
+    state = full_seeds(spark, sf, hourly).withColumn("preds", F.array().cast("array<double>"))
+    for i in range(1, FC.FORECAST_STEPS + 1):
+        at = F.col("last_timestamp") + F.make_dt_interval(F.lit(0), F.lit(i * FC.STEP_HOURS))
+        x = state.withColumns({f: c.cast("double") for f, c in FC.step_inputs(F.col("state"), at, HELD).items()})
         p = F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(500.0))
         state = model.transform(x).select(
-            "city", "last_timestamp", "data_source",
+            "city", "last_timestamp", "data_source", *HELD,
             F.concat(F.slice("state", 4, 21), F.array(p, p, p)).alias("state"),
             F.concat("preds", F.array(p)).alias("preds"))
-        state = state.checkpoint(eager=True)   # one row per entity; reliable cut of the 24-step lineage
+        state = cut_lineage(state)   # one row per entity; without it each step would evaluate the ones before it again
     fc = state.select("city", "last_timestamp", "data_source", F.posexplode("preds").alias("_pos", "_p"))
     step = (F.col("_pos") + 1).cast("int")
     out = fc.select("city", (F.col("last_timestamp") + F.make_dt_interval(F.lit(0), step * 3)).alias("timestamp"),

@@ -16,6 +16,10 @@ from aerolith.sources import fixtures as FX
 
 QUERIES, SQL = {}, {}
 MODEL_NAME, MODEL_VERSION = "linear_roll3", "v1"
+#: inputs held at the latest row, and all inputs of the full model
+HELD = ["pm2_5", "pm10", "temperature"]
+FULL_INPUTS = HELD + FC.CALENDAR_INPUTS + ["us_aqi", "aqi_lag_1", "aqi_lag_3", "aqi_lag_6", "aqi_lag_24",
+                                           "aqi_roll_3", "aqi_roll_6", "aqi_roll_24"]
 
 
 def hourly_grid_ffill(spark, sf):
@@ -57,7 +61,7 @@ SELECT city, "timestamp", us_aqi, round(coalesce(
 
 
 def source_preference(spark, sf):
-    rt, hist = FX.series_halves(spark, sf)
+    rt, hist = FX.series_halves(spark, sf, cut_lineage(FX.series(spark, sf)))
     chosen = TS.source_preference(rt, hist)
     return chosen.groupBy("city", "data_source").agg(
         F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first_timestamp"),
@@ -66,7 +70,8 @@ def source_preference(spark, sf):
 
 CHOSEN_VIEWS = [
     ("cov", """SELECT city FROM series_rt GROUP BY city
-        HAVING (epoch_us(max("timestamp")) - epoch_us(min("timestamp"))) / 3.6e9 >= 24.0"""),
+        HAVING (epoch_us(max("timestamp")) - epoch_us(min("timestamp"))) / 3.6e9 >= 24.0
+          AND first(us_aqi ORDER BY "timestamp" DESC) IS NOT NULL"""),
     ("chosen", """SELECT city, "timestamp", us_aqi, 'REALTIME' AS data_source FROM series_rt WHERE city IN (SELECT city FROM cov)
         UNION ALL SELECT city, "timestamp", us_aqi, 'HISTORICAL_FALLBACK' FROM series_hist WHERE city NOT IN (SELECT city FROM cov)"""),
 ]
@@ -75,7 +80,7 @@ SELECT city, data_source, count(*) AS rows, min("timestamp") AS first_timestamp,
 FROM chosen GROUP BY city, data_source""", CHOSEN_VIEWS)
 
 
-def forecast_table(spark, sf):
+def forecast_table(spark, sf, hourly=None):
     """TS6: source selection -> hourly grid -> seed state -> 24-step recursion -> labels, all entities at once.
 
     The hourly series feeds every branch (source choice, grid, seeds, model
@@ -83,7 +88,7 @@ def forecast_table(spark, sf):
     it is materialised once (reliable checkpoint) so the raw observations are
     scanned and scored once.
     """
-    hourly = cut_lineage(FX.series(spark, sf))
+    hourly = hourly if hourly is not None else cut_lineage(FX.series(spark, sf))
     rt, hist = FX.series_halves(spark, sf, hourly)
     chosen = TS.source_preference(rt, hist)
     sources = chosen.select("city", "data_source").distinct()
@@ -174,25 +179,63 @@ def forecast_calendar(spark, sf):
 SQL["forecast_calendar"] = _fc_sql(f'SELECT city, forecast_step, {O.calendar_sql()} FROM fc')
 
 
-def next_step_input(spark, sf):
-    """TS7: first-step model input (state features at ft = last + 3 h) per entity."""
-    rt, hist = FX.series_halves(spark, sf)
-    chosen = TS.source_preference(rt, hist)
+def full_seeds(spark, sf, hourly):
+    """Seed state, data source and held row per entity, from the materialised hourly series."""
+    chosen = TS.source_preference(*FX.series_halves(spark, sf, hourly, HELD))
     seeds = FC.seed_state(TS.hourly_grid(chosen.select("city", "timestamp", "us_aqi")))
-    h = F.col("state")
-    mean_last = lambda k: F.aggregate(F.slice(h, 25 - k, k), F.lit(0.0), lambda a, x: a + x) / F.lit(float(k))
-    return seeds.select(
-        "city", (F.col("last_timestamp") + F.expr("INTERVAL 3 HOURS")).alias("timestamp"),
-        F.element_at(h, 24).alias("us_aqi"), F.element_at(h, 24).alias("aqi_lag_1"),
-        F.element_at(h, 22).alias("aqi_lag_3"), F.element_at(h, 19).alias("aqi_lag_6"),
-        F.element_at(h, 1).alias("aqi_lag_24"), F.round(mean_last(3), 6).alias("aqi_roll_3"),
-        F.round(mean_last(6), 6).alias("aqi_roll_6"), F.round(mean_last(24), 6).alias("aqi_roll_24"))
+    return seeds.join(FC.held_row(chosen, ["data_source", *HELD]), "city")
+
+
+_X = {**{c: c for c in HELD}, "hour": "hour(ft)", "day": "day(ft)", "month": "month(ft)", "is_weekend": "CAST(isodow(ft) >= 6 AS INTEGER)",
+      "us_aqi": "h[24]", "aqi_lag_1": "h[24]", "aqi_lag_3": "h[22]", "aqi_lag_6": "h[19]", "aqi_lag_24": "h[1]",
+      "aqi_roll_3": "list_sum(h[22:24]) / 3.0", "aqi_roll_6": "list_sum(h[19:24]) / 6.0", "aqi_roll_24": "list_sum(h) / 24.0"}
+FULL_VIEWS = [
+    ("full_seeds", """SELECT s.*, x.v.pm2_5, x.v.pm10, x.v.temperature FROM seeds s
+        JOIN (SELECT city, arg_max({'pm2_5': pm2_5, 'pm10': pm10, 'temperature': temperature}, "timestamp") AS v FROM series
+          WHERE pm2_5 IS NOT NULL AND pm10 IS NOT NULL AND temperature IS NOT NULL GROUP BY city) x ON x.city = s.city"""),
+    ("full_model", "SELECT round((" + " + ".join(f"CASE WHEN min({f}) < max({f}) THEN regr_intercept(target_aqi, {f}) ELSE avg(target_aqi) END" for f in FULL_INPUTS)
+     + f") / {len(FULL_INPUTS)}, 8) AS b, " + ", ".join(f"round(CASE WHEN min({f}) < max({f}) THEN regr_slope(target_aqi, {f}) ELSE 0.0 END / {len(FULL_INPUTS)}, 8) AS w_{f}" for f in FULL_INPUTS)
+     + " FROM train"),
+    ("full_rec", """SELECT city, last_ts, data_source, pm2_5, pm10, temperature, 0 AS step, h0 AS h, NULL::DOUBLE AS p FROM full_seeds
+        UNION ALL
+        SELECT city, last_ts, data_source, pm2_5, pm10, temperature, step + 1, list_concat(h[4:24], [y, y, y]), y
+        FROM (SELECT r.*, least(greatest(b + """ + " + ".join(f"w_{f} * ({x})" for f, x in _X.items()) + """, 0.0), 500.0) AS y
+          FROM (SELECT *, last_ts + to_hours((step + 1) * 3) AS ft FROM full_rec WHERE step < 24) r, full_model)"""),
+]
+
+
+def next_step_input(spark, sf):
+    """TS7: first-step model input (held row, calendar and state features at ft = last + 3 h) per entity."""
+    seeds = full_seeds(spark, sf, cut_lineage(FX.series(spark, sf)))
+    at = F.col("last_timestamp") + F.expr("INTERVAL 3 HOURS")
+    x = FC.step_inputs(F.col("state"), at, HELD)
+    return seeds.select("city", at.alias("timestamp"), *[
+        (F.round(x[f], 6) if f.startswith("aqi_roll") else x[f]).alias(f) for f in FULL_INPUTS])
 
 
 SQL["next_step_input"] = _fc_sql("""
-SELECT city, last_ts + INTERVAL 3 HOUR AS "timestamp", h0[24] AS us_aqi, h0[24] AS aqi_lag_1, h0[22] AS aqi_lag_3,
+SELECT city, last_ts + INTERVAL 3 HOUR AS "timestamp", pm2_5, pm10, temperature, hour(last_ts + INTERVAL 3 HOUR) AS hour,
+  day(last_ts + INTERVAL 3 HOUR) AS day, month(last_ts + INTERVAL 3 HOUR) AS month,
+  CAST(isodow(last_ts + INTERVAL 3 HOUR) >= 6 AS BIGINT) AS is_weekend, h0[24] AS us_aqi, h0[24] AS aqi_lag_1, h0[22] AS aqi_lag_3,
   h0[19] AS aqi_lag_6, h0[1] AS aqi_lag_24, round(list_sum(h0[22:24]) / 3.0, 6) AS aqi_roll_3,
-  round(list_sum(h0[19:24]) / 6.0, 6) AS aqi_roll_6, round(list_sum(h0) / 24.0, 6) AS aqi_roll_24 FROM seeds""")
+  round(list_sum(h0[19:24]) / 6.0, 6) AS aqi_roll_6, round(list_sum(h0) / 24.0, 6) AS aqi_roll_24 FROM full_seeds""", FULL_VIEWS[:1])
+
+
+def forecast_full(spark, sf):
+    """TS5: recursion with the full model input: pollutants and weather held at the latest row, calendar of each step, state."""
+    hourly = cut_lineage(FX.series(spark, sf))
+    model = FC.fit_averaged_linear(FE.drop_incomplete(FX.feats(spark, sf, hourly)), FULL_INPUTS)
+    seeds = full_seeds(spark, sf, hourly).withColumn("_m", model.select(F.struct("intercept", "weights")).scalar())
+    weights = [F.col("_m.weights")[i] for i in range(len(FULL_INPUTS))]
+    step = FC.linear_step(F.col("_m.intercept"), weights, FULL_INPUTS, HELD)
+    return FC.label_forecast(FC.recursive_forecast(seeds, step, extra_cols=["data_source"]), "linear_full", "v1")
+
+
+SQL["forecast_full"] = _fc_sql(f"""SELECT *, {O.category_sql('predicted_aqi')} AS aqi_category, {O.alert_sql('predicted_aqi')} AS alert_level,
+  {O.guidance_sql('predicted_aqi', 'forecast')} AS health_guidance, 'linear_full' AS model, 'v1' AS model_version,
+  '{FC.METHOD}' AS forecast_method
+FROM (SELECT city, last_ts + to_hours(step * 3) AS "timestamp", step AS forecast_step, step * 3 AS hours_ahead,
+  round_even(p, 2) AS predicted_aqi, data_source FROM full_rec WHERE step >= 1)""", FULL_VIEWS)
 
 
 def forecast_summary(spark, sf):
@@ -295,9 +338,8 @@ WHERE alert_level IN ('Warning', 'High Alert', 'Emergency') OR predicted_aqi > 3
 
 def serving_health(spark, sf):
     """IN7: row counts and entity counts of the served tables."""
-    fc = forecast_table(spark, sf)
-    rt, hist = FX.series_halves(spark, sf)
-    return IN.serving_health(fc, rt, hist)
+    hourly = cut_lineage(FX.series(spark, sf))
+    return IN.serving_health(forecast_table(spark, sf, hourly), *FX.series_halves(spark, sf, hourly))
 
 
 SQL["serving_health"] = _fc_sql("""
@@ -307,7 +349,7 @@ SELECT (SELECT count(*) FROM fc) AS forecast_rows, (SELECT count(DISTINCT city)
 
 QUERIES.update({
     "hourly_grid_ffill": hourly_grid_ffill, "asof_lookup": asof_lookup, "time_range_mean": time_range_mean,
-    "source_preference": source_preference, "forecast_recursive": forecast_recursive, "forecast_rejects": forecast_rejects,
+    "source_preference": source_preference, "forecast_recursive": forecast_recursive, "forecast_full": forecast_full, "forecast_rejects": forecast_rejects,
     "forecast_checks": forecast_checks, "forecast_calendar": forecast_calendar, "next_step_input": next_step_input,
     "forecast_summary": forecast_summary, "daily_forecast": daily_forecast, "nearest_horizon": nearest_horizon,
     "alerts": alerts, "activity_windows": activity_windows, "entity_comparison": entity_comparison,

@@ -132,9 +132,10 @@ def entity_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(lit_rows)
 
 
-def series_halves(spark: SparkSession, sf_dir: str, hourly: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(real-time, historical) series: two cities of the real-time side keep only their last 12 h."""
-    s = (hourly if hourly is not None else series(spark, sf_dir)).select("city", "timestamp", "us_aqi")
+def series_halves(spark: SparkSession, sf_dir: str, hourly: DataFrame | None = None,
+                  columns: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(real-time, historical) series with further ``columns``: two cities of the real-time side keep only their last 12 h."""
+    s = (hourly if hourly is not None else series(spark, sf_dir)).select("city", "timestamp", "us_aqi", *columns)
     last = s.groupBy("city").agg(F.max("timestamp").alias("last_ts"))
     rt = (s.join(last, "city")
           .filter(~F.col("city").isin("click", "error")

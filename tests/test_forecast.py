@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from aerolith.operators import forecast, timeseries
@@ -64,3 +65,33 @@ def test_rejects_have_reasons_and_no_seeds(spark):
     assert got == {"short": (21, "TOO_FEW_HOURS"), "late": (30, "MISSING_VALUE"), "blank": (30, "MISSING_VALUE"), "unseen": (0, "NO_DATA")}
     seeded = {r["city"] for r in forecast.seed_state(timeseries.hourly_grid(series)).collect()}
     assert seeded == {"full", "just"}
+
+
+def test_full_input_recursion_against_a_plain_loop(spark):
+    """Held columns stay, the calendar follows each step, the state takes the predictions."""
+    last, held, state = dt.datetime(2024, 3, 1, 20), {"pm2_5": 12.5}, [float(40 + (i * 7) % 23) for i in range(24)]
+    features = ["pm2_5", *forecast.CALENDAR_INPUTS, "us_aqi", "aqi_lag_1", "aqi_lag_3", "aqi_lag_6", "aqi_lag_24",
+                "aqi_roll_3", "aqi_roll_6", "aqi_roll_24"]
+    weights = [0.4, 0.3, -0.2, 1.5, 6.0, 0.11, 0.12, 0.05, 0.04, 0.03, 0.2, 0.1, 0.15]
+    seeds = spark.createDataFrame([("x", last, state, 12.5)], "city string, last_timestamp timestamp_ntz, state array<double>, pm2_5 double")
+    step = forecast.linear_step(F.lit(2.0), [F.lit(w) for w in weights], features, ["pm2_5"])
+    got = [r["predicted_aqi"] for r in forecast.recursive_forecast(seeds, step).orderBy("forecast_step").collect()]
+    h, want = list(state), []
+    for i in range(1, 25):
+        at = last + dt.timedelta(hours=3 * i)
+        x = [held["pm2_5"], at.hour, at.day, at.month, int(at.weekday() >= 5), h[-1], h[-1], h[-3], h[-6], h[-24],
+             sum(h[-3:]) / 3, sum(h[-6:]) / 6, sum(h) / 24]
+        p = min(max(2.0 + sum(w * v for w, v in zip(weights, x)), 0.0), 500.0)
+        want.append(p)
+        h = h[3:] + [p] * 3
+    assert got == [round(p, 2) for p in want] or max(abs(a - b) for a, b in zip(got, want)) < 0.0051
+
+
+def test_source_needs_a_complete_latest_row(spark):
+    hours = spark.range(30).selectExpr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, int(id)) AS timestamp", "id")
+    hist = hours.selectExpr("explode(array('ok', 'gap')) AS city", "timestamp", "double(id) AS us_aqi")
+    rt = hist.selectExpr("city", "timestamp", "IF(city = 'gap' AND us_aqi = 29, NULL, us_aqi) AS us_aqi")
+    got = {(r["city"], r["data_source"]) for r in timeseries.source_preference(rt, hist).select("city", "data_source").distinct().collect()}
+    assert {c: s.startswith("REAL") for c, s in got} == {"ok": True, "gap": False} and len(got) == 2
+    h = forecast.held_row(rt.withColumnRenamed("us_aqi", "v"), ["v"]).collect()
+    assert {r["city"]: r["v"] for r in h} == {"ok": 29.0, "gap": 28.0}
