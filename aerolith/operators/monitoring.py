@@ -1,12 +1,12 @@
 """Drift and performance monitoring (WN8, MO1-MO9, SC14, SC16, JN6, JN7, AG16).
 
-PSI for *all* numeric features runs as one job: the two slices are
-unpivoted to ``(side, feature, value)``; reference quantile edges come from
-the distributed exact quantile operator (one small row per feature, so the
-edges table is bounded by the number of features and broadcast); every
-value is binned with ``size(filter(inner_edges, e -> e < value))`` (right-
-closed bins, outer edges +/-inf) and counted per (feature, bin) by a hash
-aggregate. Nothing is collected to the driver.
+PSI covers *all* numeric features at once: the two slices are unpivoted to
+``(side, feature, value)``; reference quantile edges come from the exact
+quantile operator (one small row per feature, so the edges table is bounded by
+the number of features and broadcast); every value is binned with
+``size(filter(inner_edges, e -> e < value))`` (right-closed bins, outer edges
++/-inf), and one hash aggregate per (feature, bin) gives counts, means and
+ranges. Nothing is collected to the driver.
 """
 
 from __future__ import annotations
