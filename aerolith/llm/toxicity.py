@@ -8,8 +8,10 @@ that no sum of single weights has.
 
 The model is fitted on at most ``SAMPLE`` labelled training documents of either class, those whose ids hash
 lowest, by mini-batch AdaGrad; only their slots, bounded per document by the number of slots, come to the
-driver. Only the ``SCREEN`` slots that tell the classes apart best are fitted. Scoring
-reads every text once, whole, without a shuffle; the model has a fixed size.
+driver. Every slot that occurs in the sample is fitted, whatever its own share of toxic documents: a
+slot that tells nothing alone may tell in a pair. Weights of weak evidence take small steps, and factors
+are shrunk by their standard errors. Scoring
+reads every text once, whole, without a shuffle; the model has at most ``SLOTS`` slots.
 
 Defined results: null and empty texts have no terms and score the bias; documents without a label, with a null
 label or a null id are not learned from; a repeated row may be learned from repeatedly; without any
@@ -32,10 +34,10 @@ SLOTS = 1 << 18
 FACTORS = 4
 #: most labelled documents of either class that are fitted
 SAMPLE = 6_000
-SEEN = 3
-#: slots that are fitted, and the least standard errors of one
-SCREEN, LEAST = 2_000, 2.5
-EPOCHS, BATCH, RATE, DECAY = 12, 64, 0.05, 1e-4
+EPOCHS, BATCH, DECAY = 12, 64, 1e-4
+RATE, RATE_FACTOR, RATE_BIAS = 0.1, 0.1, 0.05
+#: root of the likelihood ratio of a slot whose weight takes half steps; standard errors by which factors are shrunk
+STRONG, LEAST = 4.5, 2.0
 PREFIX = 4
 #: remembered words per worker
 CACHE = 300_000
@@ -99,56 +101,69 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.logit(self.rows(terms(text))), -30, 30))))
 
 
-def screened(rows: list[tuple[int, np.ndarray]]) -> np.ndarray:
-    """The ``SCREEN`` slots whose share of toxic documents is furthest from the sample's, in standard errors."""
-    slot, inv, seen = np.unique(np.concatenate([s for _, s in rows]), return_inverse=True, return_counts=True)
-    y = np.repeat([c for c, _ in rows], [len(s) for _, s in rows])
-    share = np.mean([c for c, _ in rows])
-    off = np.abs(np.bincount(inv, y, len(slot)) - seen * share) / np.sqrt(seen * share * (1 - share))
-    off[seen < SEEN] = -1
-    first = np.lexsort((slot, -off))[:SCREEN]
-    return np.sort(slot[first[off[first] >= LEAST]])
+def evidence(at: list[np.ndarray], y: np.ndarray, slots: int) -> np.ndarray:
+    """Share of the full step that the weight of each slot takes: near 1 where its own counts tell the classes apart, never cut off."""
+    sizes = [len(a) for a in at]
+    cat = np.concatenate(at)
+    seen = np.bincount(cat, minlength=slots)
+    bad = np.bincount(cat, np.repeat(y, sizes), slots)
+    ratio = np.zeros(slots)
+    for n, part in ((bad, y.mean()), (seen - bad, 1 - y.mean())):
+        ratio += 2 * n * np.log(np.maximum(n, 1e-9) / (seen * part))
+    ratio = np.maximum(ratio, 0) ** 2
+    return ratio / (ratio + STRONG ** 4)
+
+
+def _shrunk(total: np.ndarray, square: np.ndarray, epoch: int) -> np.ndarray:
+    """Change of factors: the sum of their gradients in standard errors of one pass, less ``LEAST``."""
+    z = np.abs(total) / np.sqrt(square)
+    return -RATE_FACTOR * np.sign(total) * np.maximum(0, z - LEAST * np.sqrt(epoch))
+
+
+def _per(group: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(group, value[:, f], n) for f in range(value.shape[1])], axis=1)
 
 
 def fit(rows: list[tuple[int, np.ndarray]]) -> Model:
-    """Logistic loss, both classes weighing the same; AdaGrad over shuffled mini-batches with weight decay."""
+    """Logistic loss, both classes weighing the same, over shuffled mini-batches.
+
+    Weights: AdaGrad with decay, its step scaled by ``evidence``. Factors: dual averaging, so that only steady gradients
+    move them, whatever a slot tells alone.
+    """
     if not rows or len({y for y, _ in rows}) < 2:
         return Model(np.empty(0, np.int32), 0.0, np.empty(0), np.empty((0, FACTORS)))
     rows = sorted(rows, key=lambda r: (r[0], r[1].tobytes()))
-    known = screened(rows)
+    known = np.unique(np.concatenate([s for _, s in rows]))
     rng = np.random.default_rng(7)
-    m = Model(known, 0.0, np.zeros(len(known)), rng.normal(0, 0.01, (len(known), FACTORS)))
+    start = rng.normal(0, 0.01, (len(known), FACTORS))
+    m = Model(known, 0.0, np.zeros(len(known)), start)
     at = [m.rows(s) for _, s in rows]
     y = np.array([float(c) for c, _ in rows])
     share = y.mean()
     cost = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
-    g_w, g_v, g_b = np.full(len(known), 1e-8), np.full((len(known), FACTORS), 1e-8), 1e-8
-    for _ in range(EPOCHS):
+    step = RATE * evidence(at, y, len(known))
+    g_w, g_b = np.full(len(known), 1e-8), 1e-8
+    total, square = np.zeros((len(known), FACTORS)), np.full((len(known), FACTORS), 1e-16)
+    for epoch in range(1, EPOCHS + 1):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), BATCH):
             part = order[i:i + BATCH]
-            grad_w: dict = {}
             cat = np.concatenate([at[k] for k in part])
-            sizes = np.array([len(at[k]) for k in part])
-            doc = np.repeat(np.arange(len(part)), sizes)
-            v = m.factor[cat]
-            s = np.zeros((len(part), FACTORS))
-            np.add.at(s, doc, v)
-            q = np.zeros((len(part), FACTORS))
-            np.add.at(q, doc, v * v)
-            z = m.bias + np.bincount(doc, m.weight[cat], len(part)) + 0.5 * (s * s - q).sum(axis=1)
-            e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]) * cost[part] / len(part)
+            doc = np.repeat(np.arange(len(part)), [len(at[k]) for k in part])
             used, inv = np.unique(cat, return_inverse=True)
-            grad_w = np.bincount(inv, e[doc], len(used)) + DECAY * m.weight[used]
-            grad_v = np.zeros((len(used), FACTORS))
-            np.add.at(grad_v, inv, e[doc, None] * (s[doc] - v))
-            grad_v += DECAY * m.factor[used]
+            v = (start[used] + _shrunk(total[used], square[used], epoch))[inv]
+            s = _per(doc, v, len(part))
+            z = m.bias + np.bincount(doc, m.weight[cat], len(part)) + 0.5 * ((s * s).sum(axis=1) - np.bincount(doc, (v * v).sum(axis=1), len(part)))
+            e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]) * cost[part]
+            grad_v = e[doc, None] * (s[doc] - v)
+            total[used] += _per(inv, grad_v, len(used))
+            square[used] += _per(inv, grad_v ** 2, len(used))
+            grad_w = np.bincount(inv, e[doc], len(used)) / len(part) + DECAY * m.weight[used]
             g_w[used] += grad_w ** 2
-            g_v[used] += grad_v ** 2
-            g_b += e.sum() ** 2
-            m.weight[used] -= RATE * grad_w / np.sqrt(g_w[used])
-            m.factor[used] -= RATE * grad_v / np.sqrt(g_v[used])
-            m.bias -= RATE * e.sum() / np.sqrt(g_b)
+            g_b += e.mean() ** 2
+            m.weight[used] -= step[used] * grad_w / np.sqrt(g_w[used])
+            m.bias -= RATE_BIAS * e.mean() / np.sqrt(g_b)
+    m.factor = start + _shrunk(total, square, EPOCHS)
     return m
 
 

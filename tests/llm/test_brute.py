@@ -205,6 +205,32 @@ def test_toxicity_scores_pairs():
     assert all((model.logit(model.rows(s)) > 0) == bool(y) for y, s in rows)
 
 
+def test_toxicity_fits_pairs():
+    """Terms toxic only together, each as common in clean texts, among other words: the fit finds them."""
+    rng = np.random.default_rng(1)
+
+    def rows(n):
+        out = []
+        for _ in range(n):
+            a, b = rng.integers(0, 2, 2)
+            out.append((int(a == b), np.array(sorted([10 + a, 20 + b, *(100 + rng.choice(500, 10, replace=False))]), np.int32)))
+        return out
+
+    model = toxicity.fit(rows(400))
+    assert np.mean([(model.logit(model.rows(s)) > 0) == bool(y) for y, s in rows(400)]) > 0.9
+
+
+def test_toxicity_fits_rare_insults():
+    """Insults seen 3 to 6 times, as many toxic texts as clean ones."""
+    rng = np.random.default_rng(1)
+    words = lambda *more: np.array(sorted([*more, *(100 + rng.choice(12, 4, replace=False))]), np.int32)
+    insults = [j for j in range(8) for _ in range(3 + j % 4)]
+    model = toxicity.fit([(1, words(j)) for j in insults] + [(0, words()) for _ in insults])
+    bad = [model.logit(model.rows(words(j))) for j in range(8) for _ in range(20)]
+    good = [model.logit(model.rows(words())) for _ in range(160)]
+    assert np.mean(np.array(bad)[:, None] > np.array(good)) > 0.9
+
+
 def test_quality_held_out(spark):
     got = quality_classifier.op3_quality_classifier(spark, SF_LABELS).toPandas()
     m = got.merge(spark.read.parquet(f"{SF_LABELS}/labels.parquet").toPandas(), on="doc_id")
