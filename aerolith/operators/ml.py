@@ -35,12 +35,8 @@ class ModelSpec:
     params: dict = field(default_factory=dict)
 
 
-def default_specs(small: bool = True) -> list[ModelSpec]:
-    """ML3/ML4/ML5: ridge, random forest and gradient boosting (small trees for tests, reference sizes otherwise)."""
-    if small:
-        return [ModelSpec("Ridge", "ridge"),
-                ModelSpec("RandomForest", "random_forest", {"numTrees": 20, "maxDepth": 6, "seed": 42}),
-                ModelSpec("GradientBoosting", "gbt", {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "seed": 42})]
+def default_specs() -> list[ModelSpec]:
+    """ML3/ML4/ML5: ridge, random forest and gradient boosting at the reference sizes."""
     return [ModelSpec("Ridge", "ridge"),
             ModelSpec("RandomForest", "random_forest", {"numTrees": 300, "maxDepth": 20, "seed": 42}),
             ModelSpec("GradientBoosting", "gbt", {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "seed": 42})]

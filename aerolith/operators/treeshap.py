@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from aerolith.session import ensure_checkpoint_dir
 
-DEFAULT_MAX_NODES = 2_000_000   # nodes per broadcast chunk (~49 bytes of arrays per node: ~110 MB)
+DEFAULT_MAX_NODES = 1 << 21   # nodes per broadcast chunk, a full tree of depth 20 (~49 bytes of arrays per node: ~103 MB)
 
 
 @dataclass

@@ -31,7 +31,7 @@ def _tree_explained(spark, sf):
     whole current slice explained with path-dependent tree attributions."""
     t = split_table(spark, sf)
     train = t.filter(F.col("split") == "reference")
-    spec = [s for s in ML.default_specs(small=True) if s.kind == "random_forest"]
+    spec = [s for s in ML.default_specs() if s.kind == "random_forest"]
     fitted, _ = ML.train_models(train, spec)
     model = fitted[spec[0].name]
     scored = model.transform(t.filter(F.col("split") == "current"))

@@ -95,7 +95,7 @@ def model_training(spark, sf):
     """ML1-ML8: train ridge / random forest / GBT on the reference slice, score the current slice, rank."""
     t = split_table(spark, sf)
     train, test = t.filter(F.col("split") == "reference"), t.filter(F.col("split") == "current")
-    fitted, summary = ML.train_models(train, ML.default_specs(small=True))
+    fitted, summary = ML.train_models(train, ML.default_specs())
     ranking = ML.rank_models(ML.stacked_predictions(fitted, test))
     return ranking.join(summary.select("model", "fit_seconds", "status"), "model", "left")
 
@@ -104,7 +104,7 @@ def model_comparison(spark, sf):
     """ML9: compare the trained models on the current slice with MAPE and scoring time; pick the best."""
     t = split_table(spark, sf)
     train, test = t.filter(F.col("split") == "reference"), t.filter(F.col("split") == "current")
-    fitted, summary = ML.train_models(train, ML.default_specs(small=True))
+    fitted, summary = ML.train_models(train, ML.default_specs())
     return ML.compare_models(fitted, test, fit_summary=summary)
 
 
@@ -135,7 +135,8 @@ def forecast_recursive_tree(spark, sf):
     """TS5 with a tree ensemble over the full input: one MLlib transform per step over all entities; lineage cut by checkpoint."""
     hourly = cut_lineage(FX.series(spark, sf))   # one scan of the raw observations for all branches
     train = FE.drop_incomplete(FX.feats(spark, sf, hourly))
-    model = ML.fit_state_model(train, FULL_INPUTS, kind="gbt", params={"maxIter": 10, "maxDepth": 4, "seed": 42})
+    gbt = next(s for s in ML.default_specs() if s.kind == "gbt")
+    model = ML.fit_state_model(train, FULL_INPUTS, kind=gbt.kind, params=gbt.params)
     state = full_seeds(spark, sf, hourly).withColumn("preds", F.array().cast("array<double>"))
     for i in range(1, FC.FORECAST_STEPS + 1):
         at = F.col("last_timestamp") + F.make_dt_interval(F.lit(0), F.lit(i * FC.STEP_HOURS))
