@@ -12,8 +12,9 @@ here the same logic runs incrementally:
 * SM2 tumbling 3-hour means: windowed aggregation in append mode; a window
   is emitted once the watermark passes its end;
 * SM4 rejects: invalid rows are filtered and counted with ``observe``;
-* SM5 per-entity lag state: ``applyInPandasWithState`` keeps the last 24
-  values per entity (bounded state) and emits lags for new rows.
+* SM5 per-entity lags: ``foreachBatch`` appends the rows of each micro-batch and
+  the lags are computed on read, windowed per (entity, hour), so late rows and the
+  rows after them get right lags.
 
 Every query uses ``trigger(availableNow=True)`` and a checkpoint location on
 shared storage, so a restarted query resumes where it stopped.
@@ -21,13 +22,9 @@ shared storage, so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from aerolith.functions.aqi import with_aqi
 from aerolith.operators.latest import latest_per_key
@@ -103,32 +100,39 @@ def with_rejects(stream: DataFrame, name: str = "ingest_quality") -> DataFrame:
     return observed.filter(F.col("timestamp").isNotNull() & F.col("city").isNotNull()).drop("raw_timestamp")
 
 
-LAG_STATE_SCHEMA = "history array<double>"
 LAGS = (1, 3, 24)
 
 
-def _lag_state_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Emit lags for this key's new rows using the last 24 values kept in state."""
-    history = list(state.get[0]) if state.exists else []
-    frames = [p for p in pdfs if len(p)]
-    if not frames:
-        return
-    pdf = pd.concat(frames).sort_values(["timestamp", "obs_id"], kind="mergesort")
-    values = history + pdf["value"].astype(float).tolist()
-    start = len(history)
-    out = {"obs_id": pdf["obs_id"].to_numpy(), "city": pdf["city"].to_numpy(), "timestamp": pdf["timestamp"].to_numpy()}
-    for lag in LAGS:
-        out[f"lag_{lag}"] = [values[start + i - lag] if start + i - lag >= 0 else None for i in range(len(pdf))]
-    state.update((values[-max(LAGS):],))
-    yield pd.DataFrame(out)
-
-
-def lag_state(stream: DataFrame, key: str = "city", value: str = "pm2_5") -> DataFrame:
-    """SM5: positional lags per entity from bounded per-key state (last 24 values)."""
-    schema = "obs_id long, city string, timestamp timestamp_ntz, " + ", ".join(f"lag_{k} double" for k in LAGS)
-    src = stream.select("obs_id", key, "timestamp", F.col(value).alias("value"))
-    return src.groupBy(key).applyInPandasWithState(
-        _lag_state_fn, schema, LAG_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+def append_rows(stream: DataFrame, path: str, checkpoint: str):
+    """Every row of a micro-batch, written idempotently to batch=<id>."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+
+
+def lags_on_read(rows: DataFrame, key: str = "city", value: str = "pm2_5", chunk: str = "hour") -> DataFrame:
+    """SM5: positional lags per entity by (timestamp, obs_id) over all rows that arrived, in whatever batch.
+
+    Windows run per (entity, ``chunk``). The values carried into a chunk are the last ``max(LAGS)`` of the chunks
+    before it, from a table with one row per (entity, chunk); as a chunk has a row at least, so many chunks are enough.
+    """
+    most = max(LAGS)
+    src = rows.select("obs_id", F.col(key), "timestamp", F.struct(F.col(value).cast("double").alias("v")).alias("_v"),
+                      F.date_trunc(chunk, "timestamp").alias("_chunk"))   # a struct, so that NULL values keep their place
+    part = Window.partitionBy(key, "_chunk")
+    order = part.orderBy("timestamp", F.col("obs_id").asc_nulls_last(), "_v")
+    placed = src.select("*", F.row_number().over(order).alias("_i"), F.count(F.lit(1)).over(part).alias("_n"),
+                        *[F.lag("_v", k).over(order).alias(f"_lag_{k}") for k in LAGS])
+    tails = placed.filter(F.col("_i") > F.col("_n") - most).groupBy(key, "_chunk").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("_i", "_v"))), lambda x: x["_v"]).alias("_tail"))
+    before = Window.partitionBy(key).orderBy(F.col("_chunk").asc_nulls_last()).rowsBetween(-most, -1)
+    carry = tails.select(F.col(key).alias("_key"), F.col("_chunk").alias("_of"),
+                         F.reverse(F.flatten(F.collect_list("_tail").over(before))).alias("_carry"))   # newest first
+    j = placed.join(carry, F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(F.col("_of")), "left")
+    lags = [F.when(F.col("_i") > k, F.col(f"_lag_{k}")["v"])
+            .otherwise(F.get("_carry", F.lit(k) - F.col("_i"))["v"]).alias(f"lag_{k}") for k in LAGS]
+    return j.select("obs_id", key, "timestamp", *lags)
 
 
 def scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
