@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["quality_rules", "sharding", "quality_classifier", "simhash_dedup", "decontamination", "substring_exact", "toxicity", "substring_dedup", "packing", "language_id", "merkle_manifest"]
+MODULES = ["quality_rules", "sharding", "quality_classifier", "simhash_dedup", "decontamination", "substring_exact", "toxicity", "substring_dedup", "packing", "language_id", "whitening", "html_extraction", "merkle_manifest"]
 
 
 def _load() -> tuple[dict, dict]:
