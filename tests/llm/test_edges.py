@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerolith.llm import (decontamination, language_id, packing, quality_classifier, quality_rules, sharding,
-                          simhash_dedup, substring_dedup, substring_exact, toxicity)
+                          simhash_dedup, substring_exact, toxicity)
 
 LONG = " ".join(f"w{i % 977}x{i % 13}" for i in range(30_000))
 ROWS = [(1, "a b c d e f g h i j"), (2, None), (3, ""), (None, "null id text of some words here now"), (4, LONG), (4, LONG),
@@ -74,31 +74,6 @@ def test_simhash(docs, none):
     assert simhash_dedup.components(none).count() == 0 and simhash_dedup.keep_one(none).count() == 0
 
 
-def test_substring_dedup(docs_of, none):
-    line = "one two three four five six seven eight nine"
-    d = docs_of([(2, f"{line}\nown\n{line}"), (1, f"head\n{line.upper()}"), (None, line), (3, None), (4, ""), (2, f"{line}\nown\n{line}"), (5, line)], **CLASH)
-    out = substring_dedup.apply(d)
-    assert out.columns == [*d.columns, "removed_spans"]
-    got = sorted(((r["doc_id"], r["text"], [(s["start"], s["len"]) for s in r["removed_spans"]]) for r in out.collect()), key=str)
-    n = len(line)
-    assert got == sorted([(1, f"head\n{line.upper()}", []), (2, "own", [(0, n), (n + 5, n)]), (2, "own", [(0, n), (n + 5, n)]),
-                          (3, None, []), (4, "", []), (5, "", [(0, n)]), (None, "", [(0, n)])], key=str)
-    assert substring_dedup.apply(none).count() == 0
-
-
-@pytest.mark.parametrize("hot", [1, 4, 10**9])  # no digest, some or all joined by broadcast
-def test_substring_dedup_common_lines(spark, monkeypatch, hot):
-    monkeypatch.setattr(substring_dedup, "HOT", hot)
-    line = lambda x: f"{x} two three four five six seven eight"
-    texts = {i: "\n".join([line("all"), line(f"of{i % 4}"), line(f"own{i}")]) for i in range(12)}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    seen, want = set(), {}
-    for i, t in texts.items():
-        want[i] = "\n".join(x for x in t.split("\n") if x not in seen)
-        seen.update(t.split("\n"))
-    assert {r["doc_id"]: r["text"] for r in substring_dedup.apply(docs).collect()} == want
-
-
 def test_decontamination(docs, none, spark):
     bench = spark.createDataFrame([(1, "A b, C d e f g h i j"), (2, "漢字"), (3, None), (None, "null id text of some"), (4, "---")], "item_id long, text string")
     got = {}
