@@ -1,4 +1,4 @@
-"""The corpus pipeline: quality rules, SimHash de-duplication, line de-duplication, decontamination, packing.
+"""The corpus pipeline: quality rules, SimHash de-duplication, substring de-duplication, decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and returns the
 columns of ``documents``; the last returns the packed pieces. Between stages the rows are
@@ -25,12 +25,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that occurred before go from the texts; ``n_chars`` follows the text."""
-    cut = substring_dedup.apply(docs).drop("removed_spans")
+    """Passages that occurred before go from the texts; ``n_chars`` follows the text. A null text stays null with its
+    ``n_chars``, an empty one stays empty, equal rows lose the same, other columns of any name stay."""
+    cut = substring_dedup.apply(docs, spans_col=None)
     kind = dict(docs.dtypes).get("n_chars")
     if kind:
         cut = cut.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(kind))
-    return cut.select(*docs.columns)
+    return cut
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
