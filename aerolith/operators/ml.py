@@ -42,6 +42,14 @@ def default_specs() -> list[ModelSpec]:
             ModelSpec("GradientBoosting", "gbt", {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "seed": 42})]
 
 
+#: How trees are grown, not what they are: node ids are kept with the rows, so a level's tasks do not carry the forest; lineage is cut
+#: every few iterations; many nodes share a pass.
+GROWING = {"random_forest": {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024},
+           "gbt": {"checkpointInterval": 10, "maxMemoryInMB": 1024}}
+#: rows of a training partition at least: each level of each tree is a job, and a small table in many partitions is all scheduling
+ROWS_PER_PARTITION = 100_000
+
+
 def preprocessor_stages(categorical=CATEGORICAL_FEATURES, numeric=NUMERIC_FEATURES):
     """ML1: one-hot encode categoricals and assemble with numeric columns.
 
@@ -66,9 +74,9 @@ def estimator(spec: ModelSpec, train: DataFrame, label: str = TARGET):
         return LinearRegression(featuresCol="features", labelCol=label, regParam=ridge_reg_param(train, label=label),
                                 elasticNetParam=0.0, standardization=False, solver="normal")
     if spec.kind == "random_forest":
-        return RandomForestRegressor(featuresCol="features", labelCol=label, **spec.params)
+        return RandomForestRegressor(featuresCol="features", labelCol=label, **GROWING[spec.kind], **spec.params)
     if spec.kind == "gbt":
-        return GBTRegressor(featuresCol="features", labelCol=label, **spec.params)
+        return GBTRegressor(featuresCol="features", labelCol=label, **GROWING[spec.kind], **spec.params)
     raise ValueError(f"unknown model kind {spec.kind}")
 
 
@@ -78,18 +86,33 @@ def build_pipeline(spec: ModelSpec, train: DataFrame, categorical=CATEGORICAL_FE
     return Pipeline(stages=[*preprocessor_stages(categorical, numeric), estimator(spec, train, label)])
 
 
-def train_models(train: DataFrame, specs: list[ModelSpec], label: str = TARGET, **kw):
-    """ML6: fit every spec, timing each; a failing model is recorded and skipped.
+def training_rows(train: DataFrame) -> DataFrame:
+    """``train`` in as many partitions as its rows call for, materialised: estimators read it many times."""
+    from aerolith.session import cut_lineage
+
+    n = train.count()
+    parts = max(2, -(-n // ROWS_PER_PARTITION))
+    return cut_lineage(train.coalesce(parts) if parts < train.rdd.getNumPartitions() else train.repartition(parts))
+
 
-    Returns (fitted {name: PipelineModel}, summary DataFrame).
+def train_models(train: DataFrame, specs: list[ModelSpec], label: str = TARGET, store: str | None = None, **kw):
+    """ML6: fit every spec once per training table (``model_store.fit_once``); a failing model is recorded and skipped.
+
+    Returns (fitted {name: PipelineModel}, summary DataFrame with a row for every spec).
     """
+    from aerolith.operators import model_store
+
     spark = train.sparkSession
+    train = training_rows(train)
+    digest = model_store.data_digest(train)
     fitted, rows = {}, []
     for spec in specs:
         t0 = time.perf_counter()
         try:
-            fitted[spec.name] = build_pipeline(spec, train, label=label, **kw).fit(train)
-            rows.append((spec.name, spec.kind, round(time.perf_counter() - t0, 3), "trained", None))
+            what = {"kind": spec.kind, "params": spec.params, "label": label, **{k: list(v) for k, v in kw.items()}}
+            fit = model_store.fit_once(build_pipeline(spec, train, label=label, **kw), train, what, store, digest)
+            fitted[spec.name] = fit.model
+            rows.append((spec.name, spec.kind, fit.seconds, "trained", None))
         except Exception as err:  # noqa: BLE001 - continue with the other models
             rows.append((spec.name, spec.kind, round(time.perf_counter() - t0, 3), "failed", str(err)))
     summary = spark.createDataFrame(rows, "model string, kind string, fit_seconds double, status string, error string")
@@ -117,30 +140,30 @@ def compare_models(models: dict[str, PipelineModel], test: DataFrame, label: str
                    fit_summary: DataFrame | None = None) -> DataFrame:
     """ML9: MAE/RMSE/R2/MAPE and scoring time per model, ranked by RMSE; the best one is ``selected``.
 
-    Scoring time is measured per model as a full distributed scoring pass
-    into the ``noop`` sink (nothing reaches the driver). All metrics come from
-    one aggregation over the stacked (model, y, y_hat) rows.
+    Each model scores ``test`` once, into a stored table, which is what is timed and what the metrics are computed
+    from, in one aggregation over (model, y, y_hat). Models of ``fit_summary`` that failed are rows without metrics.
     """
     from pyspark.sql import Window
 
     from aerolith.operators.monitoring import mape
+    from aerolith.sources.io import scratch_dir
 
     spark = test.sparkSession
-    timings = []
-    for name, m in models.items():
+    folder, timings = scratch_dir(spark, "scored"), []
+    for name in models:
         t0 = time.perf_counter()
-        m.transform(test).select("prediction").write.format("noop").mode("overwrite").save()
+        stacked_predictions({name: models[name]}, test, label).select("y", "y_hat").write.parquet(f"{folder}/model={name}")
         timings.append((name, round(time.perf_counter() - t0, 3)))
-    preds = stacked_predictions(models, test, label)
-    metrics = regression_metrics(preds, "y", "y_hat", groups=["model"]).join(
-        preds.groupBy("model").agg(F.round(mape(preds, "y", "y_hat"), 4).alias("mape")), "model")
+    preds = spark.read.schema("y double, y_hat double, model string").option("basePath", folder).parquet(*[f"{folder}/model={m}" for m in models])
+    extra = {"mape": F.round(mape(preds, "y", "y_hat"), 4)}
     # one row per model: the final ranking is over the number of models
-    ranked = metrics.withColumn("rank", F.row_number().over(Window.orderBy("rmse", "model")).cast("bigint"))
+    ranked = regression_metrics(preds, "y", "y_hat", groups=["model"], extra=extra).withColumn(
+        "rank", F.row_number().over(Window.orderBy("rmse", "model")).cast("bigint"))
     times = spark.createDataFrame(timings, "model string, scoring_seconds double")
     out = ranked.join(times, "model", "left")
     if fit_summary is not None:
-        out = out.join(fit_summary.select("model", "fit_seconds"), "model", "left")
-    return out.withColumn("selected", F.col("rank") == 1)
+        out = fit_summary.select("model", "fit_seconds", "status").join(out, "model", "left")
+    return out.withColumn("selected", F.coalesce(F.col("rank") == 1, F.lit(False)))
 
 
 def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
@@ -159,8 +182,12 @@ def fit_state_model(train: DataFrame, features: list[str], label: str = TARGET,
                     params: dict | None = None) -> PipelineModel:
     """Model over numeric ``features`` only (inputs of the recursive forecast)."""
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
+    from aerolith.operators import model_store
+
     spec = ModelSpec(kind, kind, params or {})
-    return Pipeline(stages=[asm, estimator(spec, train, label)]).fit(train)
+    train = training_rows(train)
+    what = {"kind": kind, "params": spec.params, "label": label, "features": list(features)}
+    return model_store.fit_once(Pipeline(stages=[asm, estimator(spec, train, label)]), train, what).model
 
 
 def sequence_vectors(seq: DataFrame, history: str = "history") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.functions.numeric import clean_double, percent_change, relative_change
-from aerolith.operators.ranking import quantiles
+from aerolith.operators.ranking import quantiles, with_global_position
 
 # ---------------------------------------------------------------------------
 # Fixed values (thresholds of the reference monitoring).
@@ -35,6 +35,8 @@ TVD_METRIC = "Total Variation Distance"
 # ---------------------------------------------------------------------------
 
 REFERENCE, CURRENT = "reference", "current"
+#: distinct times over which one task may keep a running sum
+MOST_TIMES = 1_000_000
 
 
 def chronological_split(df: DataFrame, order=("timestamp", "city"), fraction: float = 0.8,
@@ -46,11 +48,16 @@ def chronological_split(df: DataFrame, order=("timestamp", "city"), fraction: fl
     running offsets are taken over that small table, and rows are numbered
     inside each time value by the remaining order columns (bounded by the
     number of entities). Deterministic, so no materialisation is needed.
-    For orders whose leading column is not a bucketed time use
-    ``ranking.with_global_position``.
+    Times that are not bucketed go through ``ranking.with_global_position``, which ranges over the
+    whole order: so do more than ``MOST_TIMES`` distinct ones.
     """
     ts, rest = order[0], list(order[1:])
     per_ts = df.groupBy(ts).agg(F.count(F.lit(1)).alias("_n_ts"))
+    if per_ts.limit(MOST_TIMES + 1).count() > MOST_TIMES:
+        placed = with_global_position(df, list(order), pos_col="_split_pos")
+        n = df.agg(F.count(F.lit(1))).scalar()
+        return placed.withColumn("_n", n).withColumn(col, F.when(F.col("_split_pos") < F.floor(F.col("_n") * F.lit(float(fraction))), F.lit(REFERENCE))
+                                                     .otherwise(F.lit(CURRENT))).drop("_split_pos", "_n")
     cut = F.floor(F.col("_n") * F.lit(float(fraction)))
     # one row per distinct time value: the only single-partition step, bounded by span / grain
     offsets = per_ts.select(ts, F.coalesce(F.sum("_n_ts").over(
@@ -79,6 +86,12 @@ def classify_distance(d: Column) -> Column:
             .otherwise(F.lit("DRIFT")))
 
 
+def _all_features(report: DataFrame, features: list[str]) -> DataFrame:
+    """``report`` with a row for every feature: one without any value has none of its own. A row per feature, bounded by the schema."""
+    names = report.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    return names.join(report, "feature", "left")
+
+
 def _long(df: DataFrame, features: list[str], side_col: str) -> DataFrame:
     wide = df.select(F.col(side_col).alias("side"), *[clean_double(f).alias(f) for f in features])
     return wide.unpivot(["side"], features, "feature", "value").filter(F.col("value").isNotNull())
@@ -118,7 +131,7 @@ def psi_report(df: DataFrame, features: list[str], side_col: str = "split", bins
         f"""CASE WHEN reference_samples = 0 OR current_samples = 0 THEN NULL
             WHEN _rmin = _rmax THEN IF(_cmin = _cmax AND _cmin = _rmin, 0D, double('Infinity'))
             ELSE {index} END AS psi""")
-    out = out.withColumn("status", classify_psi(F.col("psi")))
+    out = _all_features(out, features).fillna(0, ["reference_samples", "current_samples"]).withColumn("status", classify_psi(F.col("psi")))
     if digits is not None:
         out = out.withColumns({c: F.round(c, digits) for c in ("psi", "reference_mean", "current_mean")})
     return out.select("feature", "psi", "status", "reference_mean", "current_mean",
@@ -143,7 +156,8 @@ def tvd_report(df: DataFrame, features: list[str], side_col: str = "split", digi
                              "current_unique_values").agg((F.sum(diff) / F.lit(2.0)).alias("_tvd"))
     value = F.when((F.col("reference_samples") == 0) | (F.col("current_samples") == 0),
                    F.lit(None).cast("double")).otherwise(F.col("_tvd"))
-    out = per_feat.withColumn("value", value)
+    out = _all_features(per_feat.withColumn("value", value), features).fillna(0, [
+        "reference_samples", "current_samples", "reference_unique_values", "current_unique_values"])
     if digits is not None:
         out = out.withColumn("value", F.round("value", digits))
     return out.select("feature", F.lit(TVD_METRIC).alias("metric"), "value",
@@ -158,14 +172,15 @@ def drift_summary(psi: DataFrame) -> DataFrame:
     """MO5/MO6: counts by status, percentages (2 dp) and mean PSI over finite values."""
     finite = F.col("psi").isNotNull() & (F.abs(F.col("psi")) != F.lit(float("inf")))
     total = F.count(F.lit(1))
+    # a report of no features has no percentages
+    percentage = lambda status: F.bround(F.try_divide(F.count_if(F.col("status") == status), total) * 100, 2)
     return psi.agg(
         total.alias("numeric_features"),
         F.count_if(F.col("status") == "DRIFT").alias("drift_features"),
         F.count_if(F.col("status") == "MODERATE_DRIFT").alias("moderate_drift_features"),
         F.count_if(F.col("status") == "NO_DRIFT").alias("no_drift_features"),
         F.count_if(F.col("status") == "UNAVAILABLE").alias("unavailable_features"),
-        F.bround(F.count_if(F.col("status") == "DRIFT") / total * 100, 2).alias("drift_percentage"),
-        F.bround(F.count_if(F.col("status") == "MODERATE_DRIFT") / total * 100, 2).alias("moderate_drift_percentage"),
+        percentage("DRIFT").alias("drift_percentage"), percentage("MODERATE_DRIFT").alias("moderate_drift_percentage"),
         F.round(F.avg(F.when(finite, F.col("psi"))), 6).alias("mean_psi"),
     )
 
@@ -180,8 +195,8 @@ def categorical_summary(tvd: DataFrame) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, y: str, yhat: str, groups: list[str] | None = None,
-                       digits: int | None = 4) -> DataFrame:
-    """AG16: MAE, RMSE, R^2 (and sample count) as plain aggregates, optionally per group.
+                       digits: int | None = 4, extra: dict[str, Column] | None = None) -> DataFrame:
+    """AG16: MAE, RMSE, R^2 (and sample count) as plain aggregates, optionally per group, with ``extra`` aggregates beside them.
 
     R^2 = 1 - SSE/SST with SST from the group's own mean, n times the population variance
     (merged per task without cancellation). A constant target has no R^2 (NULL).
@@ -193,7 +208,7 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, groups: list[str] | Non
     n = F.count(F.lit(1))
     sst = F.var_pop(yy) * n
     out = g.agg(n.alias("samples"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                (F.lit(1.0) - F.try_divide(F.sum(e * e), sst)).alias("r2"))
+                (F.lit(1.0) - F.try_divide(F.sum(e * e), sst)).alias("r2"), *[c.alias(k) for k, c in (extra or {}).items()])
     if digits is not None:
         out = out.withColumns({c: F.round(c, digits) for c in ("mae", "rmse", "r2")})
     return out

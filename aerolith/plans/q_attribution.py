@@ -8,7 +8,6 @@ from aerolith.operators import attribution as A
 from aerolith.operators import features as FE
 from aerolith.operators import forecast as FC
 from aerolith.operators import ml as ML
-from aerolith.operators import treeshap as TS
 from aerolith.plans import oracle as O
 from aerolith.plans.q_monitoring import TRAIN_SQL, split_table
 from aerolith.sources import fixtures as FX
@@ -26,47 +25,6 @@ def _explained(spark, sf):
     return A.linear_attributions(fitted["Ridge"], t.filter(F.col("split") == "current"), train, KEYS, RAW)
 
 
-def _tree_explained(spark, sf):
-    """EX1 for trees: random forest (one-hot + numeric) fitted on the reference slice; the
-    whole current slice explained with path-dependent tree attributions."""
-    t = split_table(spark, sf)
-    train = t.filter(F.col("split") == "reference")
-    spec = [s for s in ML.default_specs() if s.kind == "random_forest"]
-    fitted, _ = ML.train_models(train, spec)
-    model = fitted[spec[0].name]
-    scored = model.transform(t.filter(F.col("split") == "current"))
-    names = A.slot_names(scored)
-    slots = spark.createDataFrame([(i, n, A.raw_feature_of(n, RAW)) for i, n in enumerate(names)],
-                                  "slot_idx int, slot string, raw_feature string")
-    return TS.tree_attributions(model.stages[-1], scored, KEYS, slots)
-
-
-def tree_attribution(spark, sf):
-    return _tree_explained(spark, sf)
-
-
-def tree_additivity(spark, sf):
-    """EX4 for the forest: base value + sum of attributions equals the MLlib prediction per row."""
-    return A.additivity(_tree_explained(spark, sf), KEYS)
-
-
-def tree_importance(spark, sf):
-    """EX2/EX3 for the forest: mean |phi| per raw feature after folding one-hot slots."""
-    return A.global_importance(A.fold_onehot(_tree_explained(spark, sf), KEYS))
-
-
-def tree_driver_text(spark, sf):
-    """EX5 for the forest: top-2 positive and negative drivers per explained row."""
-    return A.driver_text(A.fold_onehot(_tree_explained(spark, sf), KEYS), KEYS)
-
-
-def tree_local_explanation(spark, sf):
-    """EX6 for the forest: attributions of the latest explained row per entity, sorted by |phi|."""
-    folded = A.fold_onehot(_tree_explained(spark, sf), KEYS)
-    latest = folded.groupBy("city").agg(F.max("timestamp").alias("timestamp"))
-    return folded.join(latest, KEYS).orderBy("city", "impact_rank")
-
-
 def sample_rows(spark, sf):
     """SO7: deterministic 2 000-row sample of the training table (sampling is the feature)."""
     return A.sample_rows(FE.drop_incomplete(FX.feats(spark, sf)), KEYS).select(*KEYS, "us_aqi", "target_aqi")
@@ -124,6 +82,4 @@ QUERIES.update({
     "sample_rows": sample_rows, "linear_attribution": linear_attribution, "global_importance": global_importance,
     "fold_onehot": fold_onehot, "additivity_check": additivity_check, "driver_text": driver_text,
     "local_explanation": local_explanation, "closed_form_attribution": closed_form_attribution,
-    "tree_attribution": tree_attribution, "tree_additivity": tree_additivity, "tree_importance": tree_importance,
-    "tree_driver_text": tree_driver_text, "tree_local_explanation": tree_local_explanation,
 })

@@ -97,7 +97,7 @@ def model_training(spark, sf):
     train, test = t.filter(F.col("split") == "reference"), t.filter(F.col("split") == "current")
     fitted, summary = ML.train_models(train, ML.default_specs())
     ranking = ML.rank_models(ML.stacked_predictions(fitted, test))
-    return ranking.join(summary.select("model", "fit_seconds", "status"), "model", "left")
+    return summary.select("model", "fit_seconds", "status").join(ranking, "model", "left")   # a failed model is a row too
 
 
 def model_comparison(spark, sf):

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aerolith.operators import features as FE
+from aerolith.operators import model_store as MS
 from aerolith.operators import monitoring as M
+from aerolith.operators import registry as R
 from aerolith.plans import oracle as O
 from aerolith.session import cut_lineage
 from aerolith.sources import fixtures as FX
+from aerolith.sources import manifest as MF
 
 QUERIES, SQL = {}, {}
 
@@ -23,16 +29,17 @@ def split_table(spark, sf):
 
     The split table feeds several consumers (PSI, TVD, performance, counts),
     each of which would otherwise recompute the feature pipeline; it is
-    materialised once with a reliable checkpoint (``spark.checkpoint.dir``).
+    materialised with a reliable checkpoint (``spark.checkpoint.dir``), and so are the rows
+    before the split, which reads them twice.
     """
-    return cut_lineage(M.chronological_split(FE.drop_incomplete(FX.feats(spark, sf)), ("timestamp", "city"), 0.8))
+    return cut_lineage(M.chronological_split(cut_lineage(FE.drop_incomplete(FX.feats(spark, sf))), ("timestamp", "city"), 0.8))
 
 
 TRAIN_SQL = """SELECT * FROM feats WHERE aqi_lag_1 IS NOT NULL AND aqi_lag_3 IS NOT NULL AND aqi_lag_6 IS NOT NULL
   AND aqi_lag_24 IS NOT NULL AND aqi_roll_3 IS NOT NULL AND aqi_roll_6 IS NOT NULL
   AND aqi_roll_24 IS NOT NULL AND target_aqi IS NOT NULL AND us_aqi IS NOT NULL"""
 SPLIT_SQL = """SELECT *, CASE WHEN row_number() OVER (ORDER BY "timestamp", city) - 1 <
-    (CASE WHEN count(*) OVER () >= 10 THEN floor(count(*) OVER () * 0.8) ELSE count(*) OVER () END)
+    floor(count(*) OVER () * 0.8)
     THEN 'reference' ELSE 'current' END AS split FROM train"""
 SPLIT_VIEWS = [("train", TRAIN_SQL), ("split_t", SPLIT_SQL)]
 
@@ -149,24 +156,49 @@ DRIFT_SUMMARY_SQL = """SELECT count(*) AS numeric_features, count(*) FILTER (WHE
 SQL["drift_summary"] = _with_split(DRIFT_SUMMARY_SQL, _psi_sql_views())
 
 
-def _performance(t):
-    """Persistence forecast (y_hat = current AQI for the 3-step-ahead target) on both slices of ``t``."""
-    ref = M.regression_metrics(t.filter(F.col("split") == "reference"), "target_aqi", "us_aqi")
-    registered = ref.select("rmse").scalar()
-    cur = M.regression_metrics(t.filter(F.col("split") == "current"), "target_aqi", "us_aqi")
-    return M.performance_status(cur, registered)
+#: the registered model of these queries: one-feature least squares, a version per feature
+MODEL, VERSION_FEATURES = "LinearState", ("us_aqi", "aqi_roll_3")
 
 
-def monitor_status(spark, sf):
-    """MO7/MO8/MO10/MO11: one monitoring row (full drift analysis: numeric and categorical
-    reports with their summaries, plus performance and overall status)."""
-    t = split_table(spark, sf)
+def build_registry(spark, path, reference):
+    """Register a version of MODEL for each feature, fitted and measured on the ``reference`` rows; versions that are there stay."""
+    there = len(MF.snapshot(spark, path).tagged(model=MODEL))
+    if there >= len(VERSION_FEATURES):
+        return path
+    reference = reference.select("timestamp", "city", *VERSION_FEATURES, "target_aqi")
+    digest = MS.data_digest(reference)
+    version = R.dataset_version(reference).first()[0]
+    for feature in VERSION_FEATURES[there:]:
+        stages = [VectorAssembler(inputCols=[feature], outputCol="features"), LinearRegression(labelCol="target_aqi", solver="normal")]
+        model = MS.fit_once(Pipeline(stages=stages), reference, {"kind": "least squares", "features": [feature]}, digest=digest).model
+        row = M.regression_metrics(model.transform(reference), "target_aqi", "prediction").first()
+        MS.register(spark, path, MODEL, model, {"MAE": row["mae"], "RMSE": row["rmse"], "R2": row["r2"] or 0.0}, version)
+    return path
+
+
+def _shared_registry(spark, t):
+    """A registry of the reference rows of ``t``, built once for the same rows."""
+    reference = t.filter(F.col("split") == "reference")
+    digest = MS.data_digest(reference.select("timestamp", "city", *VERSION_FEATURES, "target_aqi"))
+    return build_registry(spark, f"{MS.default_store(spark)}-registry/{digest[:24]}", reference)
+
+
+def performance(t, prod):
+    """MO7: the version in production scores the current rows; its error against the threshold and against its registry row."""
+    scored = MS.score(prod, t.filter(F.col("split") == "current"))
+    return M.performance_status(M.regression_metrics(scored, "target_aqi", "y_hat"), F.lit(prod.row["metrics"]["RMSE"]))
+
+
+def monitor_row(t, prod):
+    """MO7/MO8/MO10: full drift analysis of ``t`` (numeric and categorical reports with their summaries), performance of the
+    version in production, overall status: one row."""
     num = M.drift_summary(M.psi_report(t, NUMERIC))
     cat = M.categorical_summary(M.tvd_report(t, CATEGORICAL))
-    perf = _performance(t)
+    perf = performance(t, prod)
     # three one-row summaries, combined as scalar subqueries (one per summary, no join needed)
     num_row = num.select(F.struct("*")).scalar()
     row = perf.select(
+        F.lit(prod.row["model"]).alias("model"), F.lit(prod.row["version"]).alias("model_version"),
         "samples", "mae", "rmse", "r2", "registered_rmse",
         F.round("rmse_change", 6).alias("rmse_change"), F.round("rmse_change_percentage", 6).alias("rmse_change_percentage"),
         "threshold", "performance_status",
@@ -180,30 +212,45 @@ def monitor_status(spark, sf):
     return row.withColumn("overall_status", M.overall_status())
 
 
-def _perf_sql(side):
-    return f"""SELECT count(*) AS samples, round(avg(abs(us_aqi - target_aqi)), 4) AS mae,
-      round(sqrt(avg((us_aqi - target_aqi) ^ 2)), 4) AS rmse,
-      round(1 - sum((us_aqi - target_aqi) ^ 2) / (sum(target_aqi * target_aqi) - sum(target_aqi) ^ 2 / count(*)), 4) AS r2
-      FROM split_t WHERE split = '{side}'"""
+def monitor_status(spark, sf):
+    """MO7-MO11: one monitoring row for the model in production."""
+    t = split_table(spark, sf)
+    return monitor_row(t, MS.production(spark, _shared_registry(spark, t), MODEL))
 
 
-MONITOR_VIEWS = _psi_sql_views() + _tvd_sql_views() + [
-    ("num_s", DRIFT_SUMMARY_SQL),
-    ("cat_s", """SELECT count(*) AS features_checked, count(*) FILTER (WHERE status = 'DRIFT') AS categorical_drift_features,
-      count(*) FILTER (WHERE status = 'MODERATE_DRIFT') AS categorical_moderate_drift_features FROM tvd_r"""),
-    ("ref_p", _perf_sql("reference")),
-    ("cur_p", _perf_sql("current")),
-    ("mon", """SELECT c.samples, c.mae, c.rmse, c.r2, r.rmse AS registered_rmse,
+def _version_sql(number, feature):
+    err = f"(alpha + beta * {feature} - target_aqi)"
+    coef = f"""SELECT coalesce(regr_intercept(target_aqi, {feature}), avg(target_aqi)) AS alpha, coalesce(regr_slope(target_aqi, {feature}), 0.0) AS beta
+        FROM split_t WHERE split = 'reference'"""
+    return f"""SELECT {number} AS version_no, split, count(*) AS samples, round(avg(abs({err})), 4) AS mae, round(sqrt(avg({err} ^ 2)), 4) AS rmse,
+      round(1 - sum({err} ^ 2) / (sum(target_aqi * target_aqi) - sum(target_aqi) ^ 2 / count(*)), 4) AS r2 FROM split_t, ({coef}) GROUP BY split"""
+
+
+def _mon_sql(version_no):
+    """The monitoring row with a version of the model in production."""
+    return f"""SELECT '{MODEL}' AS model, 'v' || c.version_no AS model_version, c.samples, c.mae, c.rmse, c.r2, r.rmse AS registered_rmse,
       round(CASE WHEN r.rmse > 0 THEN c.rmse - r.rmse END, 6) AS rmse_change,
       round(CASE WHEN r.rmse > 0 THEN (c.rmse - r.rmse) / r.rmse * 100 END, 6) AS rmse_change_percentage,
       30.0::DOUBLE AS threshold, CASE WHEN c.rmse >= 30.0 THEN 'ALERT' ELSE 'NORMAL' END AS performance_status,
       n.numeric_features, n.drift_features, n.moderate_drift_features, n.drift_percentage, n.mean_psi,
       k.features_checked, k.categorical_drift_features, k.categorical_moderate_drift_features
-      FROM cur_p c, ref_p r, num_s n, cat_s k"""),
-    ("mon_s", """SELECT *, CASE WHEN performance_status = 'ALERT' THEN 'ALERT'
+      FROM per_version c JOIN per_version r ON r.version_no = c.version_no AND r.split = 'reference', num_s n, cat_s k
+      WHERE c.split = 'current' AND c.version_no = {version_no}"""
+
+
+_OVERALL_SQL = """CASE WHEN performance_status = 'ALERT' THEN 'ALERT'
       WHEN drift_features > 0 OR categorical_drift_features > 0 THEN 'DRIFT_DETECTED'
       WHEN moderate_drift_features > 0 OR categorical_moderate_drift_features > 0 THEN 'MODERATE_DRIFT'
-      WHEN mean_psi IS NOT NULL AND mean_psi >= 0.15 THEN 'MODERATE_DRIFT' ELSE 'HEALTHY' END AS overall_status FROM mon"""),
+      WHEN mean_psi IS NOT NULL AND mean_psi >= 0.15 THEN 'MODERATE_DRIFT' ELSE 'HEALTHY' END AS overall_status"""
+MONITOR_VIEWS = _psi_sql_views() + _tvd_sql_views() + [
+    ("num_s", DRIFT_SUMMARY_SQL),
+    ("cat_s", """SELECT count(*) AS features_checked, count(*) FILTER (WHERE status = 'DRIFT') AS categorical_drift_features,
+      count(*) FILTER (WHERE status = 'MODERATE_DRIFT') AS categorical_moderate_drift_features FROM tvd_r"""),
+    ("per_version", " UNION ALL ".join(_version_sql(i, f) for i, f in enumerate(VERSION_FEATURES, 1))),
+    # promoted only when strictly better than the version in production
+    ("prod", "SELECT CASE WHEN max(rmse) FILTER (WHERE version_no = 2) < max(rmse) FILTER (WHERE version_no = 1) THEN 2 ELSE 1 END AS version_no FROM per_version WHERE split = 'reference'"),
+    ("mon", _mon_sql("(SELECT version_no FROM prod)")),
+    ("mon_s", f"SELECT *, {_OVERALL_SQL} FROM mon"),
 ]
 SQL["monitor_status"] = _with_split("SELECT * FROM mon_s", MONITOR_VIEWS)
 

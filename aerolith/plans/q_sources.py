@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolith.operators import features as FE
+from aerolith.operators import model_store as MS
 from aerolith.operators import quality as Q
 from aerolith.operators import registry as R
 from aerolith.operators.latest import upsert_newer
 from aerolith.plans import oracle as O
 from aerolith.plans.q_registry import HIST_SQL, STATUS_SQL
+from aerolith.session import cut_lineage
 from aerolith.sources import fixtures as FX
 from aerolith.sources import io as IO
+from aerolith.sources import manifest as M
 from aerolith.sources import payloads as P
 
 QUERIES, SQL = {}, {}
@@ -106,12 +109,13 @@ SELECT city, "timestamp", obs_id, us_aqi FROM (SELECT *, row_number() OVER (PART
 
 
 def keyed_insert(spark, sf):
-    """IO12: primary-key de-duplication, then append, twice (a repeated insert); read back with one row per key."""
+    """IO12: three overlapping inserts (first deliveries, all rows, re-deliveries); a plain read has one row per key."""
     path = IO.scratch_dir(spark, "keyed")
     keys, order = ("city", "timestamp"), ("ingest_seq", "obs_id")
-    for _ in range(2):
-        IO.keyed_insert(FX.dup(spark, sf), path, keys, order)
-    return IO.read_keyed(spark, path, keys, order)
+    rows = FX.dup(spark, sf)
+    for part in (rows.where("ingest_seq = 0"), rows, rows.where("ingest_seq = 1")):
+        IO.keyed_insert(part, path, keys, order)
+    return IO.read_keyed(spark, path, rows.schema)
 
 
 SQL["keyed_insert"] = O.with_views(["dup"], """
@@ -157,20 +161,64 @@ def fallback_read(spark, sf):
 SQL["fallback_read"] = "SELECT event_type AS city, count(*) AS rows FROM events GROUP BY 1"
 
 
-def monitoring_history(spark, sf):
-    """IO10/IO11/MO11: the monitoring row appended to a history table and a JSON summary; history read back."""
-    from aerolith.plans.q_monitoring import monitor_status
-    row = monitor_status(spark, sf)
+def monitoring_runs(spark, sf):
+    """MO11: two monitoring runs over one registry, the second after a rollback to version 1; each appended once to the history
+    (IO10) and written as a nested summary (IO11), though both are delivered twice. The folder of history and summaries."""
+    from aerolith.plans import q_monitoring as QM
+
+    t = QM.split_table(spark, sf)
     base = IO.scratch_dir(spark, "monitoring")
-    IO.write_table(row, f"{base}/history", "parquet", "append")
-    IO.write_table(row, f"{base}/summary", "json", "overwrite")
-    return spark.read.parquet(f"{base}/history")
+    registry = QM.build_registry(spark, f"{base}/registry", t.filter(F.col("split") == "reference"))
+    last = t.agg(F.max("timestamp")).first()[0]
+    for run in (1, 2):
+        if run == 2:
+            MS.roll_back(spark, registry, QM.MODEL, 1)
+        row = QM.monitor_row(t, MS.production(spark, registry, QM.MODEL)).select(
+            F.lit(f"run-{run}").alias("run_id"), (F.lit(last).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(run))).alias("monitored_at"), "*")
+        row = cut_lineage(row)
+        for _ in range(2):  # a retry of the run adds nothing
+            M.append(row, f"{base}/history", run=run)
+        IO.write_table(monitoring_summary_rows(row), f"{base}/summary/run={run}", "json", "overwrite")
+    return base, row.schema
+
+
+PERFORMANCE = ["samples", "mae", "rmse", "r2", "registered_rmse", "rmse_change", "rmse_change_percentage", "threshold", "performance_status"]
+NUMERIC_DRIFT = ["numeric_features", "drift_features", "moderate_drift_features", "drift_percentage", "mean_psi"]
+CATEGORICAL_DRIFT = ["features_checked", "categorical_drift_features", "categorical_moderate_drift_features"]
+NESTED = {"performance": PERFORMANCE, "numeric_drift": NUMERIC_DRIFT, "categorical_drift": CATEGORICAL_DRIFT}
+
+
+def monitoring_summary_rows(row):
+    """IO11: the nested summary of a monitoring row."""
+    return row.select("run_id", "monitored_at", F.struct(F.col("model").alias("name"), F.col("model_version").alias("version")).alias("model"),
+                      *[F.struct(*cols).alias(name) for name, cols in NESTED.items()], "overall_status")
+
+
+def monitoring_history(spark, sf):
+    """IO10/MO11: the history of both runs, each once, with time, model and version."""
+    base, schema = monitoring_runs(spark, sf)
+    return M.read(spark, f"{base}/history", schema)
+
+
+def monitoring_summary(spark, sf):
+    """IO11: the nested summaries of both runs, read back strictly and flattened."""
+    base, schema = monitoring_runs(spark, sf)
+    kind = {f.name: f.dataType for f in schema.fields}
+    nested = T.StructType(
+        [T.StructField("run_id", T.StringType()), T.StructField("monitored_at", T.TimestampNTZType()),
+         T.StructField("model", T.StructType([T.StructField("name", T.StringType()), T.StructField("version", T.StringType())]))]
+        + [T.StructField(n, T.StructType([T.StructField(c, kind[c]) for c in cols])) for n, cols in NESTED.items()] + [T.StructField("overall_status", T.StringType())])
+    docs = IO.read_json_documents(spark, f"{base}/summary/*/", nested)
+    return docs.select("run_id", "monitored_at", F.col("model.name").alias("model"), F.col("model.version").alias("model_version"),
+                       *[F.col(f"{n}.{c}") for n, cols in NESTED.items() for c in cols], "overall_status")
 
 
 def _history_sql():
-    from aerolith.plans.q_monitoring import MONITOR_VIEWS, _with_split
-    return _with_split("SELECT * FROM mon_s", MONITOR_VIEWS)
+    from aerolith.plans import q_monitoring as QM
+    run = lambda n, version: (f"""SELECT 'run-{n}' AS run_id, (SELECT max("timestamp") FROM split_t) + INTERVAL {n} HOUR AS monitored_at, *, {QM._OVERALL_SQL}
+      FROM ({QM._mon_sql(version)})""")
+    return QM._with_split(run(1, "(SELECT version_no FROM prod)") + " UNION ALL " + run(2, 1), QM.MONITOR_VIEWS)
 
 
-SQL["monitoring_history"] = _history_sql()
-QUERIES.update({"fallback_read": fallback_read, "monitoring_history": monitoring_history})
+SQL["monitoring_history"] = SQL["monitoring_summary"] = _history_sql()
+QUERIES.update({"fallback_read": fallback_read, "monitoring_history": monitoring_history, "monitoring_summary": monitoring_summary})

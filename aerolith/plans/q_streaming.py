@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from aerolith.plans import oracle as O
+from aerolith.sources import manifest as M
 from aerolith.streaming import ingest as S
 
 QUERIES, SQL = {}, {}
@@ -19,53 +20,50 @@ def _dup_stream(spark, sf):
     return base.unionByName(again)
 
 
-def stream_dedup_first(spark, sf):
-    """SM1 keep-first: keys that survive watermark de-duplication."""
-    path, ckpt = S.sink_dirs(spark, "dedup-first")
-    out = S.dedup_keep_first(_dup_stream(spark, sf)).select("city", "timestamp", "obs_id")
-    S.run_available(out.writeStream.format("parquet").option("path", path).option("checkpointLocation", ckpt)
-                    .outputMode("append"), "stream_dedup_first")
-    return spark.read.parquet(path)
+DEDUP_KEYS, DEDUP_ORDER = ("city", "timestamp"), ("ingest_seq", "obs_id")
+
 
+def _dedup(spark, sf, name, newest):
+    path, ckpt = S.sink_dirs(spark, name)
+    stream = _dup_stream(spark, sf).drop("event_time")
+    S.run_available(S.append_batches(stream, path, ckpt, DEDUP_KEYS, DEDUP_ORDER, arrival=True, newest=newest))
+    return S.merge_batches(spark, path, stream.schema, DEDUP_KEYS, DEDUP_ORDER, arrival=True, newest=newest)
 
-SQL["stream_dedup_first"] = O.with_views(["dup"], 'SELECT DISTINCT city, "timestamp", obs_id FROM dup')
+
+def stream_dedup_first(spark, sf):
+    """SM1 keep-first: the first delivery of every key, with all its columns."""
+    return _dedup(spark, sf, "dedup-first", newest=False)
 
 
 def stream_dedup_last(spark, sf):
-    """SM1 keep-last: per-batch newest rows, merged newest-wins on read."""
-    path, ckpt = S.sink_dirs(spark, "dedup-last")
-    keys, order = ("city", "timestamp"), ("ingest_seq", "obs_id")
-    stream = _dup_stream(spark, sf).drop("event_time")
-    S.run_available(S.append_batches(stream, path, ckpt, keys, order), "stream_dedup_last")
-    return S.merge_batches(spark, path, keys, order, arrival=True)
+    """SM1 keep-last: the last delivery of every key, with all its columns."""
+    return _dedup(spark, sf, "dedup-last", newest=True)
 
 
-SQL["stream_dedup_last"] = O.with_views(["dup"], """
-SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY city, "timestamp" ORDER BY ingest_seq DESC, obs_id DESC) AS rn
-  FROM dup) WHERE rn = 1""")
+for _name, _sort in (("stream_dedup_first", ""), ("stream_dedup_last", " DESC")):
+    SQL[_name] = O.with_views(["dup"], f"""
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY city, "timestamp" ORDER BY ingest_seq{_sort}, obs_id{_sort}) AS rn
+  FROM dup WHERE city IS NOT NULL AND "timestamp" IS NOT NULL) WHERE rn = 1""")
 
 
 def stream_bucket_3h(spark, sf):
-    """SM2: tumbling 3-hour means per entity; windows closed by the watermark."""
+    """SM2: tumbling 3-hour means per entity, of all windows and rows."""
     path, ckpt = S.sink_dirs(spark, "bucket-3h")
-    out = S.windowed_means(S.scored_stream(spark, sf))
-    S.run_available(out.writeStream.format("parquet").option("path", path).option("checkpointLocation", ckpt)
-                    .outputMode("append"), "stream_bucket_3h")
-    return spark.read.parquet(path)
+    S.run_available(S.append_partials(S.scored_stream(spark, sf), path, ckpt))
+    return S.means_on_read(spark, path)
 
 
 SQL["stream_bucket_3h"] = O.with_views(["scored"], """
-SELECT * FROM (SELECT city, time_bucket(INTERVAL 3 HOUR, "timestamp") AS "timestamp", round(avg(pm2_5), 6) AS pm2_5,
-  round_even(avg(us_aqi), 0) AS us_aqi, count(*) AS n_obs FROM scored GROUP BY 1, 2)
-WHERE "timestamp" + INTERVAL 3 HOUR <= (SELECT max("timestamp") FROM scored) - INTERVAL 6 HOUR""")
+SELECT city, time_bucket(INTERVAL 3 HOUR, "timestamp") AS "timestamp", round(avg(pm2_5), 6) AS pm2_5,
+  round_even(avg(us_aqi), 0) AS us_aqi, count(*) AS n_obs FROM scored GROUP BY 1, 2""")
 
 
 def stream_latest(spark, sf):
     """SM3: latest row per entity maintained by foreachBatch upserts."""
     path, ckpt = S.sink_dirs(spark, "latest")
     stream = S.scored_stream(spark, sf).select("city", "timestamp", "obs_id", "us_aqi")
-    S.run_available(S.append_batches(stream, path, ckpt, ["city"], ["timestamp", "obs_id"]), "stream_latest")
-    return S.merge_batches(spark, path, ["city"], ["timestamp", "obs_id"])
+    S.run_available(S.append_batches(stream, path, ckpt, ["city"], ["timestamp", "obs_id"]))
+    return S.merge_batches(spark, path, stream.schema, ["city"], ["timestamp", "obs_id"])
 
 
 SQL["stream_latest"] = O.with_views(["scored"], """
@@ -73,31 +71,54 @@ SELECT city, "timestamp", obs_id, us_aqi FROM (SELECT *, row_number() OVER (PART
   FROM scored) WHERE rn = 1""")
 
 
-def stream_rejects(spark, sf):
-    """SM4: the stream arrives with text times (every 97th unparsable, every 83rd without key); valid rows kept."""
+def _checked(spark, sf):
+    """SM4: the stream arrives with text times (every 97th unparsable, every 101st missing, every 83rd without key)."""
     src = S.event_stream(spark, sf)
     raw = src.select(
         "obs_id", F.when(F.col("obs_id") % 83 == 0, F.lit(None).cast("string")).otherwise(F.col("city")).alias("city"),
-        F.when(F.col("obs_id") % 97 == 0, F.lit("not-a-time"))
+        F.when(F.col("obs_id") % 97 == 0, F.lit("not-a-time")).when(F.col("obs_id") % 101 == 0, F.lit(None).cast("string"))
         .otherwise(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).alias("raw_timestamp"), "pm2_5")
     path, ckpt = S.sink_dirs(spark, "rejects")
-    S.run_available(S.with_rejects(raw).writeStream.format("parquet").option("path", path)
-                    .option("checkpointLocation", ckpt).outputMode("append"), "stream_rejects")
-    return spark.read.parquet(path)
+    query = S.run_available(S.append_checked(raw, path, ckpt))
+    rows = M.read(spark, path, "obs_id long, city string, raw_timestamp string, pm2_5 double, timestamp timestamp_ntz, reason string")
+    return rows, query
+
+
+def stream_rejects(spark, sf):
+    """SM4: the valid rows."""
+    return _checked(spark, sf)[0].where(F.col("reason") == S.VALID).drop("reason", "raw_timestamp")
+
+
+def stream_dead_letters(spark, sf):
+    """SM4: the rejected rows as they came, with the reason."""
+    return _checked(spark, sf)[0].where(F.col("reason") != S.VALID).drop("timestamp")
+
+
+def stream_quality_counts(spark, sf):
+    """SM4: counts of the query's progress, added over its batches."""
+    query = _checked(spark, sf)[1]
+    counts = spark.createDataFrame(S.observed_counts(query), "batch long, count string, value long")
+    return counts.groupBy("count").agg(F.sum("value").alias("value"))
 
 
-SQL["stream_rejects"] = O.with_views(["obs_raw"], """
-SELECT obs_id, city, try_strptime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", CAST(pm2_5 AS DOUBLE) AS pm2_5
-FROM (SELECT o.obs_id, r.city, r."timestamp", o.pm2_5 FROM obs_raw r JOIN obs o USING (obs_id))
-WHERE try_strptime("timestamp", '%Y-%m-%d %H:%M:%S') IS NOT NULL AND city IS NOT NULL""")
+CHECKED_VIEWS = [("raw", """SELECT obs_id, CASE WHEN obs_id % 83 <> 0 THEN city END AS city, pm2_5,
+    CASE WHEN obs_id % 97 = 0 THEN 'not-a-time' WHEN obs_id % 101 = 0 THEN NULL ELSE strftime("timestamp", '%Y-%m-%d %H:%M:%S') END AS raw_timestamp FROM obs"""),
+    ("checked", """SELECT *, try_strptime(raw_timestamp, '%Y-%m-%d %H:%M:%S') AS "timestamp", CASE WHEN raw_timestamp IS NULL THEN 'missing_timestamp'
+    WHEN try_strptime(raw_timestamp, '%Y-%m-%d %H:%M:%S') IS NULL THEN 'invalid_timestamp' WHEN city IS NULL THEN 'missing_key' ELSE 'valid' END AS reason FROM raw""")]
+SQL["stream_rejects"] = O.with_views(["obs"], """SELECT obs_id, city, "timestamp", pm2_5 FROM checked WHERE reason = 'valid'""", CHECKED_VIEWS)
+SQL["stream_dead_letters"] = O.with_views(["obs"], "SELECT obs_id, city, raw_timestamp, pm2_5, reason FROM checked WHERE reason <> 'valid'", CHECKED_VIEWS)
+SQL["stream_quality_counts"] = O.with_views(["obs"], """
+SELECT c AS "count", v::BIGINT AS value FROM (SELECT unnest(['rows', 'missing_timestamp', 'invalid_timestamp', 'missing_key', 'valid', 'dropped_by_watermark']) AS c,
+  unnest([count(*), count(*) FILTER (WHERE reason = 'missing_timestamp'), count(*) FILTER (WHERE reason = 'invalid_timestamp'),
+    count(*) FILTER (WHERE reason = 'missing_key'), count(*) FILTER (WHERE reason = 'valid'), 0]) AS v FROM checked)""", CHECKED_VIEWS)
 
 
 def stream_state_lag(spark, sf):
     """SM5: positional PM2.5 lags per entity over all batches, whatever the order of arrival."""
     path, ckpt = S.sink_dirs(spark, "state-lag")
     stream = S.event_stream(spark, sf).select("obs_id", "city", "timestamp", "pm2_5")
-    S.run_available(S.append_rows(stream, path, ckpt), "stream_state_lag")
-    return S.lags_on_read(spark.read.parquet(path).drop("batch"))
+    S.run_available(S.append_lags(stream, path, ckpt))
+    return S.read_lags(spark, path)
 
 
 SQL["stream_state_lag"] = O.with_views(["obs"], """
@@ -107,5 +128,6 @@ FROM obs WINDOW w AS (PARTITION BY city ORDER BY "timestamp", obs_id)""")
 QUERIES.update({
     "stream_dedup_first": stream_dedup_first, "stream_dedup_last": stream_dedup_last,
     "stream_bucket_3h": stream_bucket_3h, "stream_latest": stream_latest, "stream_rejects": stream_rejects,
+    "stream_dead_letters": stream_dead_letters, "stream_quality_counts": stream_quality_counts,
     "stream_state_lag": stream_state_lag,
 })

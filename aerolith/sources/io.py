@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolith.operators.latest import latest_per_key
+from aerolith.sources import manifest as M
 from aerolith.session import ensure_checkpoint_dir
 
 # The reference's entity dimension (entity -> latitude, longitude).
@@ -76,8 +76,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def cached_read(spark: SparkSession, path: str, compute, force_refresh: bool = False) -> DataFrame:
-    """IO2: read-through cache: parquet at ``path`` if present, else compute, write, and read back."""
-    if force_refresh or not _exists(spark, path):
+    """IO2: read-through cache: parquet at ``path`` if a finished write left its marker there, else compute, write, and read back."""
+    if force_refresh or not _exists(spark, f"{path}/_SUCCESS"):
         compute().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -90,16 +90,19 @@ def read_first_available(spark: SparkSession, paths: list[str], reader) -> DataF
     raise FileNotFoundError(f"none of the sources exist: {paths}")
 
 
-def keyed_insert(df: DataFrame, path: str, keys=("city", "timestamp"), order=("ingest_seq",),
-                 batch_rows: int | None = None, partition_by: list[str] | None = None) -> str:
-    """IO12: de-duplicate on the primary key (keep last) and append (in files of <= ``batch_rows`` rows, if given)."""
-    clean = latest_per_key(df, list(keys), list(order))
-    return write_table(clean, path, "parquet", "append", partition_by, batch_rows)
+def keyed_insert(df: DataFrame, path: str, keys=("city", "timestamp"), order=("ingest_seq",), bucket=None) -> M.Snapshot:
+    """IO12: insert into a table with one row per key, the newest by ``order``; only the buckets touched are written anew.
 
+    ``bucket`` depends on the key alone; by default the day of a key with a time, else one of 64 by hash.
+    """
+    if bucket is None:
+        bucket = M.bucket_of_day() if "timestamp" in keys else F.pmod(F.xxhash64(*keys), F.lit(64))
+    return M.merge_keyed(df, path, list(keys), list(order), bucket)
 
-def read_keyed(spark: SparkSession, path: str, keys=("city", "timestamp"), order=("ingest_seq",)) -> DataFrame:
-    """IO12: a table of keyed inserts with one row per key, the newest by ``order`` across all inserts."""
-    return latest_per_key(spark.read.parquet(path), list(keys), list(order))
+
+def read_keyed(spark: SparkSession, path: str, schema) -> DataFrame:
+    """IO12: a plain read of the published buckets; keys are unique as they stand."""
+    return M.read(spark, path, schema)
 
 
 def entity_dimension(spark: SparkSession) -> DataFrame:

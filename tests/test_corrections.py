@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolith.operators import eda, ml, monitoring, quality, registry, timeseries
-from aerolith.sources import io
+from aerolith.sources import io, manifest
 from aerolith.streaming import ingest
 
 
@@ -47,13 +47,15 @@ def test_few_rows_are_split(spark):
 
 def test_late_row_does_not_win(spark, tmp_path):
     row = lambda city, t, v: (city, dt.datetime(2024, 1, t), v)
+    schema = T._parse_datatype_string("city string, timestamp timestamp_ntz, v double")
     for batch, rows in enumerate([[row("a", 2, 20.0)], [row("a", 1, 10.0)]]):
-        (spark.createDataFrame(rows, "city string, timestamp timestamp_ntz, v double").withColumn("batch_id", F.lit(batch))
-         .write.parquet(f"{tmp_path}/batch={batch}"))
-    newest = ingest.merge_batches(spark, str(tmp_path), ["city"], ["timestamp"]).collect()
+        manifest.append_batch(spark.createDataFrame(rows, schema).withColumn("batch_id", F.lit(batch).cast("long")), str(tmp_path), batch)
+    newest = ingest.merge_batches(spark, str(tmp_path), schema, ["city"], ["timestamp"]).collect()
     assert [r["v"] for r in newest] == [20.0]
-    last = ingest.merge_batches(spark, str(tmp_path), ["city"], ["timestamp"], arrival=True).collect()
+    last = ingest.merge_batches(spark, str(tmp_path), schema, ["city"], ["timestamp"], arrival=True).collect()
     assert [r["v"] for r in last] == [10.0]
+    first = ingest.merge_batches(spark, str(tmp_path), schema, ["city"], ["timestamp"], arrival=True, newest=False).collect()
+    assert [r["v"] for r in first] == [20.0]
 
 
 def test_latest_value_of_the_hour(spark):
@@ -75,7 +77,8 @@ def test_keys_unique_over_inserts(spark):
     path = io.scratch_dir(spark, "inserts")
     for seq in (1, 0):
         io.keyed_insert(spark.createDataFrame([("a", seq, 10.0 + seq), ("b", seq, 20.0 + seq)], "city string, ingest_seq int, v double"), path, ("city",))
-    assert sorted(tuple(r) for r in io.read_keyed(spark, path, ("city",)).collect()) == [("a", 1, 11.0), ("b", 1, 21.0)]
+    got = io.read_keyed(spark, path, "city string, ingest_seq int, v double").collect()
+    assert sorted(map(tuple, got)) == [("a", 1, 11.0), ("b", 1, 21.0)]
 
 
 def test_unknown_category_has_no_slot(spark):

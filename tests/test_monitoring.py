@@ -96,3 +96,30 @@ def test_global_split_exact_count(spark):
     out = M.chronological_split(df, ("timestamp", "city"), 0.8)
     ref = [r["id"] for r in out.filter("split = 'reference'").collect()]
     assert len(ref) == int(1003 * 0.8) and max(ref) < min(r["id"] for r in out.filter("split = 'current'").collect())
+
+
+def test_feature_without_values_is_reported(spark):
+    """An all-NULL feature, a feature of NaN, and an empty table: UNAVAILABLE rows, percentages over all features."""
+    rows = [("reference" if i < 80 else "current", float(i % 10), None, float("nan"), "a" if i % 2 else "b", None) for i in range(100)]
+    df = spark.createDataFrame(rows, "split string, x double, gone double, nan double, c string, none string")
+    psi = {r["feature"]: r for r in M.psi_report(df, ["x", "gone", "nan"]).collect()}
+    assert set(psi) == {"x", "gone", "nan"} and psi["x"]["status"] == "NO_DRIFT"
+    assert all(psi[f]["status"] == "UNAVAILABLE" and psi[f]["psi"] is None and psi[f]["reference_samples"] == 0 for f in ("gone", "nan"))
+    tvd = {r["feature"]: r["status"] for r in M.tvd_report(df, ["c", "none"]).collect()}
+    assert tvd == {"c": "NO_DRIFT", "none": "UNAVAILABLE"}
+    s = M.drift_summary(M.psi_report(df, ["x", "gone", "nan"])).first()
+    assert (s["numeric_features"], s["unavailable_features"], s["drift_percentage"]) == (3, 2, 0.0)
+    empty = M.psi_report(df.where("false"), ["x"])
+    assert [r["status"] for r in empty.collect()] == ["UNAVAILABLE"]
+    none = M.drift_summary(empty.where("false")).first()
+    assert none["numeric_features"] == 0 and none["drift_percentage"] is None and none["mean_psi"] is None
+
+
+def test_split_over_many_times(spark, monkeypatch):
+    """More distinct times than one task may hold: the same split, by ranges."""
+    from pyspark.sql import functions as F
+    df = spark.range(500).select(F.timestamp_seconds(F.col("id") % 250).alias("timestamp"), F.concat(F.lit("c"), F.col("id") % 7).alias("city"), "id")
+    key = lambda d: {(r["timestamp"], r["city"], r["id"]): r["split"] for r in d.collect()}
+    want = key(M.chronological_split(df, ("timestamp", "city", "id")))
+    monkeypatch.setattr(M, "MOST_TIMES", 10)
+    assert key(M.chronological_split(df, ("timestamp", "city", "id"))) == want and list(want.values()).count("reference") == 400

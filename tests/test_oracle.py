@@ -28,7 +28,6 @@ def test_every_query_has_unique_aliases():
 CONTRACTS = {
     "model_persistence": lambda r: r["rows"] > 0 and r["max_abs_diff"] == 0,
     "additivity_check": lambda r: r["additive"],
-    "tree_additivity": lambda r: r["additive"],
 }
 
 
