@@ -14,7 +14,8 @@ fourteen is an anchor, and a window whose anchor occurs in one document only can
 2. Each block sends the hashes of its anchors, once each, to buckets by hash; a bucket answers with
    one bit per hash: seen in another block or document, or not.
 3. For the anchors that are, each block sends the bytes around them (all windows of the anchor), equal ones once with the
-   smallest id; the buckets run the radix passes and answer with one bit per window: in a smaller document or not.
+   smallest id; the buckets run the radix passes and answer with one bit per window: in a smaller document or not. What the
+   block needs for its report travels along, so no text is hashed again.
 4. Each block marks the covered bytes of its documents and reports.
 
 Hashes only choose what is compared; windows are compared by their bytes, so the result is exact. A string that
@@ -28,6 +29,7 @@ long texts are worked on in overlapping pieces; an empty table gives no rows; ex
 from __future__ import annotations
 
 import hashlib
+import pickle
 
 import numpy as np
 import pandas as pd
@@ -48,8 +50,8 @@ AROUND = LENGTH + SPREAD - 1
 BLOCK_BYTES = 4 << 20
 #: bytes worked on at a time
 CHUNK = 1 << 18
-#: bytes of text per bucket, and the most buckets
-BUCKET_BYTES, BUCKETS = 32 << 20, 1 << 16
+#: bytes of text per bucket
+BUCKET_BYTES = 8 << 20
 #: rank of a null id
 LAST = 2**63 - 1
 
@@ -106,8 +108,8 @@ def _hashes(data: np.ndarray) -> np.ndarray:
     return (h ^ h >> np.uint64(27)) | np.uint64(1)
 
 
-class Block:
-    """The documents of a block and their anchors."""
+class Texts:
+    """The documents of a block."""
 
     def __init__(self, ranks: bytes, sizes: bytes, data: bytes):
         self.rank = np.frombuffer(ranks, np.int64)
@@ -115,6 +117,13 @@ class Block:
         self.end = np.cumsum(self.size)
         self.start = self.end - self.size
         self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=int(self.end[-1])) if self.end[-1] else b"", np.uint8)
+
+
+class Block(Texts):
+    """The documents of a block and their anchors."""
+
+    def __init__(self, ranks: bytes, sizes: bytes, data: bytes):
+        super().__init__(ranks, sizes, data)
         self.chunks = [self._chunk(c) for c in self._pieces()]
         none = [np.empty(0, np.uint64)]
         self.hash = np.concatenate(none + [c[3] for c in self.chunks])  # of every anchor
@@ -189,13 +198,34 @@ class Block:
         """Distinct (bytes around, windows) with hash and smallest rank; and for every anchor: its context, document, place, windows."""
         value, doc, at, windows, near = self.around(repeated)
         rows = np.concatenate([near, windows.astype("<u4").view(np.uint8).reshape(-1, 4)], axis=1)
-        rows = np.ascontiguousarray(rows).view(f"V{AROUND + 4}").ravel()
-        _, first, inverse = np.unique(rows, return_index=True, return_inverse=True)
+        first, inverse = distinct_rows(rows)
         low = np.full(len(first), LAST, np.int64)
         np.minimum.at(low, inverse, self.rank[doc])
         return value[first], rows[first], low, inverse, doc, at, windows
 
 
+def distinct_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of bytes: one index per distinct row, and for each row which of them is equal to it.
+
+    Rows are ordered by a hash and neighbours compared by their bytes, so rows of one number are always equal; should two different rows
+    share a hash, some equal rows may get two numbers, which costs a row and no result.
+    """
+    if not len(rows):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    words = np.ascontiguousarray(np.pad(rows, ((0, 0), (0, -rows.shape[1] % 8)))).view(np.uint64)
+    h = np.zeros(len(rows), np.uint64)
+    for k in range(words.shape[1]):
+        h = (h ^ words[:, k]) * _MIX[k % len(_MIX)]
+        h ^= h >> np.uint64(29)
+    order = np.argsort(h, kind="stable")
+    h, words = h[order], words[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (h[1:] != h[:-1]) | (words[1:] != words[:-1]).any(axis=1)
+    inverse = np.empty(len(rows), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return order[new], inverse
+
+
 def _bucket(short: np.ndarray, buckets: int) -> np.ndarray:
     return (short % np.uint64(buckets)).astype(np.int64)
 
@@ -265,21 +295,27 @@ def _send_contexts(buckets: int):
         for b in batches:
             for r in b.to_pylist():
                 block = Block(r["ranks"], r["sizes"], r["data"])
-                to, rows, low, *_ = _dealt(block, r["answers"], buckets)
-                out = [(k, r["block"], pack(rows[a:e].tobytes()), low[a:e].tobytes()) for k, a, e in _runs(to)]
+                to, rows, low, context, doc, at, windows = _dealt(block, r["answers"], buckets)
+                runs = list(_runs(to))
+                out = [(k, r["block"], pack(rows[a:e].tobytes()), low[a:e].tobytes()) for k, a, e in runs]
                 if out:
+                    # what the report needs of the anchors, under a key of the block's own
+                    order = np.argsort(at, kind="stable")
+                    cols = (np.array([x for k, a, e in runs for x in (k, e - a)], np.int64), low, context[order].astype(np.uint32), np.diff(at[order], prepend=0), windows[order])
+                    out.append((-1 - r["block"], r["block"], pickle.dumps([(c.dtype.str, pack(c.tobytes())) for c in cols]), b""))
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in map(list, zip(*out))], names=["bucket", "block", "rows", "low"])
     return run
 
 
-def radix_groups(text: np.ndarray) -> np.ndarray:
+def radix_groups(text: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
     """Group numbers of rows of bytes: equal rows share one, rows without an equal have -1.
 
-    Most significant digits (8 bytes) first; rows alone in their group drop out after each pass.
+    Most significant digits (8 bytes) first; rows alone in their group drop out after each pass. ``own``: groups
+    by digits before these, if any.
     """
     n, width = text.shape
     group = np.full(n, -1, np.int64)
-    left, own = np.arange(n), np.zeros(n, np.int64)
+    left, own = np.arange(n), np.zeros(n, np.int64) if own is None else own
     for a in range(0, width, 8):
         if not len(left):
             break
@@ -298,43 +334,59 @@ def radix_groups(text: np.ndarray) -> np.ndarray:
 
 
 def _answer_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For each context that a block sent, a bit for each window: in a smaller document than the block's, or not."""
+    """For each context that a block sent, a bit for each window: in a smaller document than the block's, or not.
+
+    The first three digits of the radix passes are the anchor's gram, common to all windows of a context and so done once; the
+    others are the rest of the window, before and behind the gram.
+    """
+    if pdf["bucket"].iloc[0] < 0:
+        return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "flags": pdf["rows"]})
     unpack = zstandard.ZstdDecompressor().decompress
     sent = [np.frombuffer(unpack(x), np.uint8).reshape(-1, AROUND + 4) for x in pdf["rows"]]
+    ends = np.cumsum([len(x) for x in sent])
     rows = np.concatenate(sent)
     low = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["low"]])
+    first, which = distinct_rows(rows)
+    rows = rows[first]
+    own_low = np.full(len(first), LAST, np.int64)  # the smallest rank with this very context
+    np.minimum.at(own_low, which, low)
     windows = np.ascontiguousarray(rows[:, AROUND:]).view("<u4").ravel()
-    flags = np.zeros(len(rows), np.uint32)
+    flags = np.zeros(len(low), np.uint32)
+    a, e = SPREAD - 1, SPREAD - 1 + GRAM
+    gram = radix_groups(rows[:, a:e])
     for o in range(SPREAD):
-        has = np.flatnonzero(windows >> np.uint32(o) & np.uint32(1))
-        a = SPREAD - 1 - o
-        group = radix_groups(rows[has, a:a + LENGTH])
+        bit = windows >> np.uint32(o) & np.uint32(1) == 1
+        least = np.where(bit, own_low, LAST)
+        has = np.flatnonzero(bit & (gram >= 0))
+        group = radix_groups(np.concatenate([rows[has, a - o:a], rows[has, e:a - o + LENGTH]], axis=1), gram[has])
         some = np.flatnonzero(group >= 0)
-        if not len(some):
-            continue
-        least = np.full(group.max() + 1, LAST, np.int64)
-        np.minimum.at(least, group[some], low[has[some]])
-        hit = has[some[least[group[some]] < low[has[some]]]]
-        flags[hit] |= np.uint32(1 << o)
-    ends = np.cumsum([len(x) for x in sent])
+        if len(some):
+            in_group = np.full(group.max() + 1, LAST, np.int64)
+            np.minimum.at(in_group, group[some], own_low[has[some]])
+            least[has[some]] = in_group[group[some]]
+        flags[least[which] < low] |= np.uint32(1 << o)
     return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "flags": [flags[e - len(x):e].tobytes() for x, e in zip(sent, ends)]})
 
 
-def _report(buckets: int):
+def _report():
     def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
             for r in b.to_pylist():
-                block = Block(r["ranks"], r["sizes"], r["data"])
-                to, rows, low, context, doc, at, windows = _dealt(block, r["answers"], buckets)
+                block = Texts(r["ranks"], r["sizes"], r["data"])
                 got = {a["bucket"]: a["flags"] for a in r["flags"] or ()}
-                flags = np.concatenate([np.empty(0, np.uint32)] + [np.frombuffer(got[k], np.uint32) for k, _, _ in _runs(to)])
+                notes = [np.frombuffer(unpack(x), t) for t, x in pickle.loads(got[-1 - r["block"]])] if got else [np.empty(0, np.int64)] * 5
+                runs, low, context, at, windows = notes
+                at = np.cumsum(at)
+                flags = np.concatenate([np.empty(0, np.uint32)] + [np.frombuffer(got[int(k)], np.uint32) for k in runs[::2]])
+                doc = np.searchsorted(block.end, at, "right")
                 edge = np.zeros(len(block.data) + 1, np.int32)
                 if len(at):
                     cut = np.where(block.rank[doc] > low[context], windows, flags[context])
                     for o in range(SPREAD):
                         s = at[cut >> np.uint32(o) & np.uint32(1) == 1] - o
-                        np.add.at(edge, s, 1)
-                        np.add.at(edge, s + LENGTH, -1)
+                        edge[s] += 1  # places of one offset differ; a place that two parts of a long text share counts once at both ends
+                        edge[s + LENGTH] -= 1
                 gone = np.cumsum(edge[:-1]) > 0
                 out = ([], [], [], [], [])
                 for rank, s, e in zip(block.rank.tolist(), block.start.tolist(), block.end.tolist()):
@@ -352,7 +404,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     texts = id_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(LAST)).alias("rank"), "text")
     blocks = stored(texts.mapInArrow(_blocks, "block long, ranks binary, sizes binary, data binary"), "text-blocks")
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    buckets = int(min(BUCKETS, max(8, total // BUCKET_BYTES)))
+    buckets = int(max(8, total // BUCKET_BYTES))
     sent = blocks.mapInArrow(_send_hashes(buckets), "bucket long, block long, hashes binary, twice binary")
     bits = sent.groupBy("bucket").applyInPandas(_answer_hashes, "block long, bucket long, bits binary")
     answers = stored(bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers")), "anchor-answers")
@@ -360,7 +412,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     around = asked.mapInArrow(_send_contexts(buckets), "bucket long, block long, rows binary, low binary")
     flags = around.groupBy("bucket").applyInPandas(_answer_contexts, "block long, bucket long, flags binary")
     told = stored(flags.groupBy("block").agg(F.collect_list(F.struct("bucket", "flags")).alias("flags")), "window-answers")
-    return asked.join(told, "block", "left").mapInArrow(_report(buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return blocks.join(told, "block", "left").mapInArrow(_report(), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
