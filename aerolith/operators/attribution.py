@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_SEED = 42
@@ -20,12 +20,12 @@ SAMPLE_SIZE = 2000
 
 
 def sample_rows(df: DataFrame, keys: list[str], n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED) -> DataFrame:
-    """SO7: deterministic sample of ``n`` rows (all rows when fewer): smallest hash of the row key.
+    """SO7: deterministic sample of ``n`` rows (all rows when fewer): smallest MD5 of the row key as text.
 
     A top-n by hash: each partition keeps its n best candidates, so the
     merge holds at most n x partitions rows.
     """
-    return df.withColumn("_h", F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))).orderBy("_h", *keys).limit(n).drop("_h")
+    return df.withColumn("_h", F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))).orderBy("_h", *keys).limit(n).drop("_h")
 
 
 def slot_names(scored: DataFrame, features_col: str = "features") -> list[str]:
@@ -50,6 +50,33 @@ def raw_feature_of(slot: str, raw_features: list[str]) -> str:
     return best or slot
 
 
+# Display labels of the reference.
+FEATURE_LABELS = {
+    "pm2_5": "PM2.5", "pm10": "PM10", "us_aqi": "Current AQI",
+    "aqi_lag_1": "AQI Lag 1 Hour", "aqi_lag_3": "AQI Lag 3 Hours", "aqi_lag_6": "AQI Lag 6 Hours", "aqi_lag_24": "AQI Lag 24 Hours",
+    "aqi_roll_3": "AQI Rolling 3 Hours", "aqi_roll_6": "AQI Rolling 6 Hours", "aqi_roll_24": "AQI Rolling 24 Hours",
+    "nitrogen_dioxide": "Nitrogen Dioxide", "ozone": "Ozone", "sulphur_dioxide": "Sulphur Dioxide", "carbon_monoxide": "Carbon Monoxide",
+    "temperature": "Temperature", "humidity": "Humidity", "pressure": "Pressure", "wind_speed": "Wind Speed", "cloud_cover": "Cloud Cover",
+    "visibility": "Visibility", "day_of_week": "Day of Week", "is_weekend": "Weekend Indicator", "city": "City", "season": "Season",
+}
+
+
+def feature_label(name: Column | str) -> Column:
+    """SC17: the label shown for a raw feature; names without one are put in title case."""
+    c = F.col(name) if isinstance(name, str) else name
+    labels = F.create_map(*[F.lit(x) for kv in FEATURE_LABELS.items() for x in kv])
+    return F.coalesce(F.element_at(labels, c), F.initcap(F.replace(c, F.lit("_"), F.lit(" "))))
+
+
+def raw_feature(slot: Column | str, raw_features: list[str]) -> Column:
+    """SC17: an encoded slot name folded to the longest raw feature that it is or begins with, as a column."""
+    c = F.col(slot) if isinstance(slot, str) else slot
+    out = c
+    for r in sorted(raw_features, key=len):   # the longest is looked at first
+        out = F.when((c == r) | F.startswith(c, F.lit(r + "_")), F.lit(r)).otherwise(out)
+    return out
+
+
 def linear_attributions(model: PipelineModel, rows: DataFrame, background: DataFrame, keys: list[str],
                         raw_features: list[str], features_col: str = "features") -> DataFrame:
     """EX1/EX3/EX4: long table (keys, slot, raw_feature, value, phi, base_value, prediction)."""

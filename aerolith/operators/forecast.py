@@ -51,23 +51,25 @@ def seed_state(grid: DataFrame, key: str = "city", ts: str = "timestamp", value:
 
 
 def forecast_rejects(entities: DataFrame, series: DataFrame, key: str = "city", ts: str = "timestamp",
-                     value: str = "us_aqi") -> DataFrame:
+                     value: str = "us_aqi", held: list[str] = ()) -> DataFrame:
     """TS6: entities that cannot be forecast: key, grid hours, reason.
 
     NO_DATA: no timed row; TOO_FEW_HOURS: the grid is shorter than the state; MISSING_VALUE: the
-    first value lies inside the last 22 grid hours, or there is none. Forward fill leaves gaps
-    only before the first value, so one aggregate over the series tells all three without a grid.
+    first value lies inside the last 22 grid hours, or there is none; MISSING_INPUT: no row has all of the
+    ``held`` inputs. Forward fill leaves gaps only before the first value, so one aggregate over the series
+    tells all four without a grid.
     """
     hour = F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz")
     spans = series.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key).agg(
-        F.min(hour).alias("_lo"), F.min(F.when(F.col(value).isNotNull(), hour)).alias("_first"), F.max(hour).alias("_hi"))
+        F.min(hour).alias("_lo"), F.min(F.when(F.col(value).isNotNull(), hour)).alias("_first"), F.max(hour).alias("_hi"),
+        F.count_if(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in held) or "true")).alias("_held"))
     length = lambda lo: F.coalesce(F.timestamp_diff("HOUR", F.col(lo), F.col("_hi")) + 1, F.lit(0)).cast("bigint")
     need = STATE_HOURS - 2
     out = entities.select(key).filter(F.col(key).isNotNull()).distinct().join(spans, key, "left").select(
-        key, length("_lo").alias("hours"), length("_first").alias("_known"))
+        key, length("_lo").alias("hours"), length("_first").alias("_known"), F.coalesce("_held", F.lit(0)).alias("_held"))
     reason = (F.when(F.col("hours") == 0, F.lit("NO_DATA")).when(F.col("hours") < need, F.lit("TOO_FEW_HOURS"))
-              .otherwise(F.lit("MISSING_VALUE")))
-    return out.filter(F.col("_known") < need).select(key, "hours", reason.alias("reason"))
+              .when(F.col("_known") < need, F.lit("MISSING_VALUE")).otherwise(F.lit("MISSING_INPUT")))
+    return out.filter((F.col("_known") < need) | (F.col("_held") == 0)).select(key, "hours", reason.alias("reason"))
 
 
 def roll3_linear_step(alpha: Column, beta: Column):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from aerolith.functions.aqi import activity_recommendation, aqi_category
 from aerolith.functions.calendar import slot_label
+from aerolith.operators.ranking import with_global_position
 
 
 def forecast_summary(fc: DataFrame, key: str = "city") -> DataFrame:
@@ -81,9 +82,9 @@ def entity_comparison(fc: DataFrame, key: str = "city") -> DataFrame:
         F.avg(F.when(F.col("hours_ahead") <= 24, F.col("predicted_aqi"))).alias("avg_24h"),
         F.avg("predicted_aqi").alias("avg_72h"), F.max("predicted_aqi").alias("peak_72h"),
         F.any_value("data_source").alias("data_source"))
-    # final ranking over one row per entity
-    w = Window.orderBy("avg_24h", key)
-    return c.select(F.row_number().over(w).cast("bigint").alias("rank"), key,
+    # positions over ranges of the order, however many entities there are
+    placed = with_global_position(c, ["avg_24h", key], pos_col="_rank")
+    return placed.select((F.col("_rank") + 1).cast("bigint").alias("rank"), key,
                     *[F.bround(x, 1).alias(x) for x in ("next_aqi", "avg_24h", "avg_72h", "peak_72h")],
                     aqi_category("next_aqi").alias("aqi_category"), "data_source")
 

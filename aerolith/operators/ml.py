@@ -166,6 +166,17 @@ def compare_models(models: dict[str, PipelineModel], test: DataFrame, label: str
     return out.withColumn("selected", F.coalesce(F.col("rank") == 1, F.lit(False)))
 
 
+def model_columns(model: PipelineModel) -> list[str]:
+    """PR8: the raw columns that a fitted pipeline reads, in its order: encoded ones first, then those of the assembler."""
+    made, out = set(), []
+    for stage in model.stages:
+        names = lambda one, many: (([stage.getOrDefault(one)] if stage.hasParam(one) and stage.isDefined(one) else [])  # noqa: E731,B023
+                                   + (list(stage.getOrDefault(many)) if stage.hasParam(many) and stage.isDefined(many) else []))  # noqa: B023
+        out += [c for c in names("inputCol", "inputCols") if c not in made and c not in out]
+        made |= set(names("outputCol", "outputCols"))
+    return out
+
+
 def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
     """ML10: persist with MLlib's writer and load it back."""
     model.write().overwrite().save(path)

@@ -67,14 +67,14 @@ def asof_lookup(probes: DataFrame, history: DataFrame, key: str = "city", probe_
     rows = p_rows.unionByName(h_rows).withColumn("_chunk", F.date_trunc(chunk, "_t"))
     # one row per (entity, chunk): last history value of the chunk, carried forward across chunks;
     # before the first history value the entity's first value is used
-    chunk_last = h.groupBy(key, F.date_trunc(chunk, "_t").alias("_chunk")).agg(
-        F.max_by("_v", "_t").alias("_chunk_last"))
-    first = h.groupBy(key).agg(F.min_by("_v", "_t").alias("_first"))
-    chunks = (rows.select(key, "_chunk").distinct().join(chunk_last, [key, "_chunk"], "left")
-              .join(first, key, "left"))
-    wc = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunk_ends = h.groupBy(key, F.date_trunc(chunk, "_t").alias("_chunk")).agg(
+        F.max_by("_v", "_t").alias("_chunk_last"), F.min_by("_v", "_t").alias("_chunk_first"))
+    chunks = rows.select(key, "_chunk").distinct().join(chunk_ends, [key, "_chunk"], "left")
+    by_chunk = Window.partitionBy(key).orderBy("_chunk")
+    wc = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carry = chunks.select(key, "_chunk", F.coalesce(F.last("_chunk_last", ignorenulls=True).over(wc),
-                                                    F.col("_first")).alias("_carry"))
+                                                    F.first("_chunk_first", ignorenulls=True).over(whole)).alias("_carry"))
     wi = Window.partitionBy(key, "_chunk").orderBy("_t", "_kind", "_order").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     within = rows.withColumn("_in", F.last("_v", ignorenulls=True).over(wi)).filter(F.col("_kind") == 1)

@@ -30,6 +30,30 @@ def sample_rows(spark, sf):
     return A.sample_rows(FE.drop_incomplete(FX.feats(spark, sf)), KEYS).select(*KEYS, "us_aqi", "target_aqi")
 
 
+SQL["sample_rows"] = O.with_views(["feats"], f"""
+SELECT city, "timestamp", us_aqi, target_aqi FROM train
+ORDER BY md5(concat_ws('|', city, strftime("timestamp", '%Y-%m-%d %H:%M:%S'), '{A.SAMPLE_SEED}')), city, "timestamp" LIMIT {A.SAMPLE_SIZE}""", [("train", TRAIN_SQL)])
+
+
+def feature_labels(spark, sf):
+    """SC17: encoded slots (numeric features, and one per city, weekday and season of the table) with raw feature and label."""
+    t = FX.feats(spark, sf)
+    slots = t.select(F.explode(F.concat(
+        F.array(*[F.lit(c) for c in [*ML.NUMERIC_FEATURES, "unknown_measure"]]),
+        F.array(*[F.concat_ws("_", F.lit(c), F.col(c)) for c in ML.CATEGORICAL_FEATURES]))).alias("slot")).distinct()
+    return slots.select("slot", A.raw_feature("slot", RAW).alias("raw_feature")).withColumn("label", A.feature_label("raw_feature"))
+
+
+def _case(labels):
+    return "CASE raw_feature " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in labels.items()) + " WHEN 'unknown_measure' THEN 'Unknown Measure' WHEN 'hour' THEN 'Hour' WHEN 'day' THEN 'Day' WHEN 'month' THEN 'Month' END"
+
+
+SQL["feature_labels"] = O.with_views(["feats"], f"""
+SELECT slot, raw_feature, {_case(A.FEATURE_LABELS)} AS label FROM (
+  SELECT c AS slot, c AS raw_feature FROM (SELECT unnest([{', '.join(repr(c) for c in [*ML.NUMERIC_FEATURES, 'unknown_measure'])}]) AS c)
+  UNION {' UNION '.join(f"SELECT DISTINCT '{c}_' || {c}, '{c}' FROM feats" for c in ML.CATEGORICAL_FEATURES)})""")
+
+
 def linear_attribution(spark, sf):
     return _explained(spark, sf)
 
@@ -79,7 +103,7 @@ SELECT city, "timestamp", round(beta * (aqi_roll_3 - mu), 6) AS phi_aqi_roll_3,
 FROM train, m""", [("train", TRAIN_SQL)])
 
 QUERIES.update({
-    "sample_rows": sample_rows, "linear_attribution": linear_attribution, "global_importance": global_importance,
+    "sample_rows": sample_rows, "feature_labels": feature_labels, "linear_attribution": linear_attribution, "global_importance": global_importance,
     "fold_onehot": fold_onehot, "additivity_check": additivity_check, "driver_text": driver_text,
     "local_explanation": local_explanation, "closed_form_attribution": closed_form_attribution,
 })

@@ -12,7 +12,7 @@ from aerolith.operators import ml as ML
 from aerolith.operators import timeseries as TS
 from aerolith.operators.monitoring import regression_metrics
 from aerolith.plans import oracle as O
-from aerolith.plans.q_monitoring import split_table
+from aerolith.plans.q_monitoring import TRAIN_SQL, split_table
 from aerolith.plans.q_timeseries import FULL_INPUTS, HELD, full_seeds
 from aerolith.session import cut_lineage
 from aerolith.sources import fixtures as FX
@@ -65,6 +65,21 @@ SELECT method, coalesce(city, 'Overall') AS city, count(*) AS samples, round(avg
 FROM preds WHERE y_hat IS NOT NULL AND y IS NOT NULL GROUP BY GROUPING SETS ((method, city), (method))""", BACKTEST_SQL)
 
 
+def backtest_predictions(spark, sf):
+    """TS8: the predictions behind the backtest: a row per method, entity and test hour."""
+    pos = cut_lineage(_grid_positions(spark, sf))
+    preds = B.baseline_forecasts(pos)
+    return preds.join(pos.select("city", "pos", "timestamp"), ["city", "pos"]).select(
+        "method", "city", "timestamp", (F.col("y")).alias("actual"), F.round("y_hat", 6).alias("predicted"), F.round(F.col("y_hat") - F.col("y"), 6).alias("error"))
+
+
+SQL["backtest_predictions"] = O.with_views(["series"], """
+SELECT p.method, p.city, pos."timestamp", p.y AS actual, round(p.y_hat, 6) AS predicted, round(p.y_hat - p.y, 6) AS error
+FROM preds2 p JOIN pos ON pos.city = p.city AND pos.pos = p.pos""", BACKTEST_SQL[:-1] + [("preds2", BACKTEST_SQL[-1][1]
+    .replace("SELECT te.city, 'persistence'", "SELECT te.city, te.pos, 'persistence'").replace("SELECT te.city, 'seasonal_naive_24'", "SELECT te.city, te.pos, 'seasonal_naive_24'")
+    .replace("SELECT city, 'ar1_diff'", "SELECT city, pos, 'ar1_diff'"))])
+
+
 def minmax_scaled(spark, sf):
     """TS9: per-entity min-max scaling fitted on the first 80 % of each entity's hours."""
     s = B.minmax_scale(_grid_positions(spark, sf))
@@ -120,6 +135,9 @@ def model_persistence(spark, sf):
         F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"))
 
 
+SQL["model_persistence"] = O.with_views(["feats"], "SELECT count(*) AS rows, 0.0::DOUBLE AS max_abs_diff FROM train", [("train", TRAIN_SQL)])
+
+
 def forecast_recursive_mllib(spark, sf):
     """TS5 with an MLlib ridge model over the full input, recursed in one aggregate() per entity."""
     hourly = cut_lineage(FX.series(spark, sf))   # one scan of the raw observations for all branches
@@ -156,7 +174,7 @@ def forecast_recursive_tree(spark, sf):
 
 
 QUERIES.update({
-    "baseline_backtest": baseline_backtest, "minmax_scaled": minmax_scaled, "sequence_regression": sequence_regression,
+    "baseline_backtest": baseline_backtest, "backtest_predictions": backtest_predictions, "minmax_scaled": minmax_scaled, "sequence_regression": sequence_regression,
     "model_training": model_training, "model_comparison": model_comparison, "model_persistence": model_persistence,
     "forecast_recursive_mllib": forecast_recursive_mllib, "forecast_recursive_tree": forecast_recursive_tree,
 })

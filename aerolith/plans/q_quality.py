@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +88,18 @@ SELECT count(*) FILTER (WHERE pm2_5 IS NOT NULL AND TRY_CAST(pm2_5 AS DOUBLE) IS
 FROM obs_raw""")
 
 
+def strict_rows(spark, sf):
+    """PR5: the strict contract cast itself over all rows whose numbers are well-formed (one bad number would fail the load)."""
+    raw = FX.obs_raw(spark, sf).where(F.col("pm2_5") != "n/a")
+    schema = T.StructType([T.StructField("obs_id", T.LongType()), T.StructField("PM2_5", T.DoubleType()), T.StructField("pm10", T.DoubleType()),
+                           T.StructField("station_id", T.LongType())])
+    return Q.strict_cast(raw, schema)
+
+
+SQL["strict_rows"] = O.with_views(["obs_raw"], """
+SELECT obs_id, pm2_5::DOUBLE AS "PM2_5", pm10::DOUBLE AS pm10, station_id::BIGINT AS station_id FROM obs_raw WHERE pm2_5 <> 'n/a'""")
+
+
 def null_profile(spark, sf):
     raw = FX.obs_raw(spark, sf)
     schema = T.StructType([T.StructField("obs_id", T.LongType()), T.StructField("city", T.StringType()),
@@ -203,7 +216,7 @@ SQL["dedup_exact"] = O.with_views(["obs"], "SELECT DISTINCT * FROM (SELECT * FRO
 
 QUERIES.update({
     "coerce_lenient": coerce_lenient, "coerce_report": coerce_report, "schema_align": schema_align,
-    "strict_cast": strict_cast, "null_profile": null_profile, "quality_overview": quality_overview,
+    "strict_cast": strict_cast, "strict_rows": strict_rows, "null_profile": null_profile, "quality_overview": quality_overview,
     "feature_availability": feature_availability, "target_check": target_check, "range_check": range_check,
     "history_coverage": history_coverage, "total_sort": total_sort, "dedup_last": dedup_last,
     "dedup_first": dedup_first, "dedup_exact": dedup_exact,
@@ -211,13 +224,15 @@ QUERIES.update({
 
 
 def model_input(spark, sf):
-    """PR7/PR8/PR9: feature/target split and model-input projection in the model's column order."""
+    """PR7/PR8/PR9: feature/target split and projection to the columns that a fitted pipeline reads, in its order."""
     from aerolith.operators import ml as ML
-    t = FE.drop_incomplete(FX.feats(spark, sf))
+    from aerolith.session import cut_lineage
+    t = cut_lineage(FE.drop_incomplete(FX.feats(spark, sf)))
     Q.require_columns(t, ML.NUMERIC_FEATURES + ML.CATEGORICAL_FEATURES + [ML.TARGET])
     numeric = [c for c in Q.numeric_columns(t, exclude=["timestamp", ML.TARGET, "n_obs", "year"])
                if c in ML.NUMERIC_FEATURES]
-    return t.select("city", "timestamp", *ML.CATEGORICAL_FEATURES[1:], *numeric, ML.TARGET)
+    model = Pipeline(stages=ML.preprocessor_stages(numeric=numeric)).fit(t)
+    return t.select("timestamp", *ML.model_columns(model), ML.TARGET)
 
 
 def _model_input_sql():

@@ -21,48 +21,81 @@ from aerolith.sources import payloads as P
 QUERIES, SQL = {}, {}
 
 
+#: further measures of the payload fixtures, the same expressions in both engines
+AIR = {"pm10": "pm10", "pm2_5": "pm2_5", "carbon_monoxide": "pm10 * 8", "nitrogen_dioxide": "pm2_5 / 2", "sulphur_dioxide": "pm2_5 / 4",
+       "ozone": "100 - temperature", "us_aqi": "us_aqi"}
+WEATHER = {"temperature_2m": "temperature", "relative_humidity_2m": "100 - temperature", "surface_pressure": "1000 + temperature / 2",
+           "cloud_cover": "temperature * 2", "wind_speed_10m": "pm10 / 8", "wind_direction_10m": "pm2_5 + 1", "precipitation": "temperature / 16"}
+
+
+def _hourly_payloads(spark, sf, measures):
+    s = FX.series(spark, sf).selectExpr("city", "timestamp", *[f"{e} AS {c}" for c, e in measures.items()])
+    return s.groupBy("city", F.to_date("timestamp").alias("day")).agg(P.encode_hourly(s, ["city"], "timestamp", list(measures)).alias("payload"))
+
+
 def payload_arrays(spark, sf):
-    """IO5: per entity-day columnar payloads built from the hourly series, decoded back to rows."""
-    s = FX.series(spark, sf)
-    fields = ["pm2_5", "pm10", "us_aqi"]
-    docs = s.groupBy("city", F.to_date("timestamp").alias("day")).agg(
-        P.encode_hourly(s, ["city"], "timestamp", fields).alias("payload"))
-    return P.decode_hourly(docs, "payload", fields, keep=["city"])
+    """IO5: per entity-day columnar payloads with all seven measures, decoded back to rows."""
+    return P.decode_hourly(_hourly_payloads(spark, sf, AIR), "payload", P.HOURLY_AIR_FIELDS, keep=["city"])
 
 
-SQL["payload_arrays"] = O.with_views(["series"], 'SELECT city, "timestamp", pm2_5, pm10, us_aqi FROM series')
+SQL["payload_arrays"] = O.with_views(["series"], 'SELECT city, "timestamp", ' + ", ".join(f"({e})::DOUBLE AS {c}" for c, e in AIR.items()) + " FROM series")
 
 
 def payload_weather(spark, sf):
-    """IO6: weather columnar payloads with provider names, decoded and renamed."""
-    s = FX.series(spark, sf).withColumnRenamed("temperature", "temperature_2m")
-    docs = s.groupBy("city", F.to_date("timestamp").alias("day")).agg(
-        P.encode_hourly(s, ["city"], "timestamp", ["temperature_2m"]).alias("payload"))
-    return P.decode_hourly(docs, "payload", ["temperature_2m"], P.HOURLY_WEATHER_RENAMES, keep=["city"])
+    """IO6: weather columnar payloads with provider names, all seven measures, decoded and renamed."""
+    return P.decode_hourly(_hourly_payloads(spark, sf, WEATHER), "payload", list(P.HOURLY_WEATHER_RENAMES), P.HOURLY_WEATHER_RENAMES, keep=["city"])
 
 
-SQL["payload_weather"] = O.with_views(["series"], 'SELECT city, "timestamp", temperature FROM series')
+SQL["payload_weather"] = O.with_views(["series"], 'SELECT city, "timestamp", ' + ", ".join(
+    f"({e})::DOUBLE AS {P.HOURLY_WEATHER_RENAMES[c]}" for c, e in WEATHER.items()) + " FROM series")
 
 
 def payload_nested(spark, sf):
-    """IO7/IO8: nested weather and pollution payloads per observation; empty pollution lists drop the row."""
-    o = FX.scored(spark, sf)
+    """IO7/IO8/IO15: nested weather and pollution payloads per observation, the weather one with name and coordinates from the entity
+    dimension; empty pollution lists drop the row."""
+    dim = IO.entity_dimension(spark).withColumnRenamed("city", "name")
+    o = FX.scored(spark, sf).join(F.broadcast(dim), F.pmod("station_id", F.lit(dim_size())) == F.col("entity_no"))
     item = F.struct(F.struct(F.col("pm25_index").cast("int").alias("aqi")).alias("main"),
                     F.struct(F.col("pm2_5"), F.col("pm10")).alias("components"),
                     F.unix_seconds(F.col("timestamp").cast("timestamp")).alias("dt"))
     pol = F.to_json(F.struct(F.when(F.col("obs_id") % 50 == 0, F.array_remove(F.array(item), item))
                              .otherwise(F.array(item)).alias("list")))
-    wea = F.to_json(F.struct(F.array(F.struct(F.col("city").alias("description"))).alias("weather"),
-                             F.struct(F.col("temperature").alias("temp")).alias("main")))
+    wea = F.to_json(F.struct(
+        "name", F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon")).alias("coord"),
+        F.struct((F.col("station_id") % 101).cast("double").alias("all")).alias("clouds"),
+        F.when(F.col("obs_id") % 3 != 0, F.lit(10000.0)).alias("visibility"), F.array(F.struct(F.col("city").alias("description"))).alias("weather"),
+        F.struct(F.col("temperature").alias("temp"), F.lit(1013.0).alias("pressure"), F.lit(40.0).alias("humidity")).alias("main"),
+        F.struct((F.col("pm2_5") / 8).alias("speed")).alias("wind")))
     docs = o.select("obs_id", pol.alias("pollution_json"), wea.alias("weather_json"))
-    w = P.decode_weather(docs, "weather_json", keep=["obs_id"]).select("obs_id", "weather", "temperature")
+    w = P.decode_weather(docs, "weather_json", keep=["obs_id"])
     p = P.decode_pollution(docs, "pollution_json", keep=["obs_id"]).select("obs_id", "aqi", "pm2_5", "pm10", "api_timestamp")
     return w.join(p, "obs_id")
 
 
-SQL["payload_nested"] = O.with_views(["scored"], """
-SELECT obs_id, city AS weather, temperature, CAST(pm25_index AS INTEGER) AS aqi, pm2_5, pm10,
-  CAST(floor(epoch_us("timestamp") / 1000000) AS BIGINT) AS api_timestamp FROM scored WHERE obs_id % 50 <> 0""")
+def dim_size():
+    return len(IO.ENTITY_COORDINATES)
+
+
+DIM_SQL = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{c}', {lat}::DOUBLE, {lon}::DOUBLE)" for i, (c, lat, lon) in enumerate(IO.ENTITY_COORDINATES)) + ") t(entity_no, name, latitude, longitude)"
+SQL["payload_nested"] = O.with_views(["scored"], f"""
+SELECT obs_id, d.name AS city, d.latitude, d.longitude, (station_id % 101)::DOUBLE AS cloud_cover, CASE WHEN obs_id % 3 <> 0 THEN 10000.0::DOUBLE END AS visibility,
+  1013.0::DOUBLE AS pressure, 40.0::DOUBLE AS humidity, pm2_5 / 8 AS wind_speed, s.city AS weather, temperature, CAST(pm25_index AS INTEGER) AS aqi, pm2_5, pm10,
+  CAST(floor(epoch_us("timestamp") / 1000000) AS BIGINT) AS api_timestamp
+FROM scored s JOIN dim d ON d.entity_no = station_id % {dim_size()} WHERE obs_id % 50 <> 0""", [("dim", DIM_SQL)])
+
+
+def entity_locations(spark, sf):
+    """IO15/DQ12: observations per entity of the dimension, with coordinates; entities without any are listed."""
+    dim = IO.entity_dimension(spark)
+    n = FX.obs(spark, sf).groupBy(F.pmod("station_id", F.lit(dim_size() + 2)).alias("entity_no")).agg(F.count(F.lit(1)).alias("rows"))
+    return F.broadcast(dim).join(n, "entity_no", "left").select(
+        "city", "latitude", "longitude", F.coalesce("rows", F.lit(0)).alias("rows"),
+        (F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180)).alias("in_range"))
+
+
+SQL["entity_locations"] = O.with_views(["obs"], f"""
+SELECT d.name AS city, d.latitude, d.longitude, count(o.obs_id) AS rows, true AS in_range
+FROM dim d LEFT JOIN obs o ON o.station_id % {dim_size() + 2} = d.entity_no GROUP BY ALL""", [("dim", DIM_SQL)])
 
 ROUNDTRIP_SCHEMA = T.StructType([
     T.StructField("obs_id", T.LongType()), T.StructField("city", T.StringType()),
@@ -145,7 +178,7 @@ SELECT model AS model_name, 'v' || CAST(version_no AS VARCHAR) AS version, statu
                                      [("hist", HIST_SQL), ("st", STATUS_SQL)])
 
 QUERIES.update({
-    "payload_arrays": payload_arrays, "payload_weather": payload_weather, "payload_nested": payload_nested,
+    "entity_locations": entity_locations, "payload_arrays": payload_arrays, "payload_weather": payload_weather, "payload_nested": payload_nested,
     "source_roundtrip": source_roundtrip, "cached_read": cached_read, "upsert_latest": upsert_latest,
     "keyed_insert": keyed_insert, "json_roundtrip": json_roundtrip,
 })

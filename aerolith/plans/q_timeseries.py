@@ -38,7 +38,7 @@ SQL["hourly_grid_ffill"] = O.with_views(["series"], GRID_SQL)
 def asof_lookup(spark, sf):
     probes = FX.obs(spark, sf).select(F.col("obs_id").alias("probe_id"), "city",
                                       (F.col("timestamp") - F.expr("INTERVAL 90 MINUTES")).alias("probe_ts"))
-    return TS.asof_lookup(probes, FX.series(spark, sf), "city", "probe_ts", "probe_id")
+    return TS.asof_lookup(probes, cut_lineage(FX.series(spark, sf)), "city", "probe_ts", "probe_id")   # read in two branches
 
 
 SQL["asof_lookup"] = O.with_views(["obs", "series"], """
@@ -118,6 +118,27 @@ FROM (SELECT station_id, date_trunc('hour', min("timestamp")) AS lo, date_trunc(
 WHERE first_known IS NULL OR date_diff('hour', first_known, hi) + 1 < 22""")
 
 
+def _stations(spark, sf):
+    """Scored observations of stations; every seventh station never has a temperature."""
+    return FX.scored(spark, sf).withColumn("temperature", F.when(F.col("station_id") % 7 != 0, F.col("temperature")))
+
+
+def forecast_accounting(spark, sf):
+    """TS6: every station once: forecast with the full input, or the reason why not."""
+    s = _stations(spark, sf)
+    seeds = FC.seed_state(TS.hourly_grid(s, key="station_id"), key="station_id").join(FC.held_row(s, HELD, key="station_id"), "station_id")
+    done = seeds.select("station_id", F.lit("FORECAST").alias("outcome"))
+    return done.unionByName(FC.forecast_rejects(s, s, "station_id", held=HELD).select("station_id", F.col("reason").alias("outcome")))
+
+
+SQL["forecast_accounting"] = O.with_views(["scored"], """
+SELECT station_id, CASE WHEN hi IS NULL THEN 'NO_DATA' WHEN date_diff('hour', lo, hi) + 1 < 22 THEN 'TOO_FEW_HOURS'
+  WHEN first_known IS NULL OR date_diff('hour', first_known, hi) + 1 < 22 THEN 'MISSING_VALUE' WHEN held = 0 THEN 'MISSING_INPUT' ELSE 'FORECAST' END AS outcome
+FROM (SELECT station_id, date_trunc('hour', min("timestamp")) AS lo, date_trunc('hour', max("timestamp")) AS hi,
+    date_trunc('hour', min("timestamp") FILTER (WHERE us_aqi IS NOT NULL)) AS first_known,
+    count(*) FILTER (WHERE station_id % 7 <> 0 AND pm2_5 IS NOT NULL AND pm10 IS NOT NULL AND temperature IS NOT NULL) AS held
+  FROM scored WHERE station_id IS NOT NULL GROUP BY station_id)""")
+
 FORECAST_VIEWS = CHOSEN_VIEWS + [
     ("train", TRAIN_SQL),
     ("fgrid", """SELECT g.city, g.ts, last_value(c.us_aqi IGNORE NULLS) OVER (PARTITION BY g.city ORDER BY g.ts
@@ -350,6 +371,7 @@ SELECT (SELECT count(*) FROM fc) AS forecast_rows, (SELECT count(DISTINCT city)
 QUERIES.update({
     "hourly_grid_ffill": hourly_grid_ffill, "asof_lookup": asof_lookup, "time_range_mean": time_range_mean,
     "source_preference": source_preference, "forecast_recursive": forecast_recursive, "forecast_full": forecast_full, "forecast_rejects": forecast_rejects,
+    "forecast_accounting": forecast_accounting,
     "forecast_checks": forecast_checks, "forecast_calendar": forecast_calendar, "next_step_input": next_step_input,
     "forecast_summary": forecast_summary, "daily_forecast": daily_forecast, "nearest_horizon": nearest_horizon,
     "alerts": alerts, "activity_windows": activity_windows, "entity_comparison": entity_comparison,

@@ -106,5 +106,6 @@ def read_keyed(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def entity_dimension(spark: SparkSession) -> DataFrame:
-    """IO15: the static entity dimension (fixed size, safe to broadcast)."""
-    return spark.createDataFrame(ENTITY_COORDINATES, "city string, latitude double, longitude double")
+    """IO15: the static entity dimension with a number for each entity (fixed size, safe to broadcast)."""
+    rows = [(i, *e) for i, e in enumerate(ENTITY_COORDINATES)]
+    return spark.createDataFrame(rows, "entity_no long, city string, latitude double, longitude double")

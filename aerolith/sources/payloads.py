@@ -33,6 +33,10 @@ POLLUTION_SCHEMA = T.StructType([T.StructField("list", T.ArrayType(T.StructType(
 ])))])
 
 WEATHER_SCHEMA = T.StructType([
+    T.StructField("name", T.StringType()),
+    T.StructField("coord", T.StructType([T.StructField(c, T.DoubleType()) for c in ["lat", "lon"]])),
+    T.StructField("clouds", T.StructType([T.StructField("all", T.DoubleType())])),
+    T.StructField("visibility", T.DoubleType()),
     T.StructField("weather", T.ArrayType(T.StructType([T.StructField("description", T.StringType())]))),
     T.StructField("main", T.StructType([T.StructField(c, T.DoubleType()) for c in ["temp", "pressure", "humidity"]])),
     T.StructField("wind", T.StructType([T.StructField("speed", T.DoubleType())])),
@@ -69,7 +73,8 @@ def decode_weather(df: DataFrame, payload: str, keep: list[str] = ()) -> DataFra
     """IO7: nested weather payload flattened; description from ``weather[0]``."""
     p = F.from_json(payload, WEATHER_SCHEMA)
     return df.select(*keep, p.alias("_w")).select(
-        *keep, F.col("_w.main.temp").alias("temperature"), F.col("_w.main.pressure").alias("pressure"),
+        *keep, F.col("_w.name").alias("city"), F.col("_w.coord.lat").alias("latitude"), F.col("_w.coord.lon").alias("longitude"),
+        F.col("_w.clouds.all").alias("cloud_cover"), F.col("_w.visibility").alias("visibility"), F.col("_w.main.temp").alias("temperature"), F.col("_w.main.pressure").alias("pressure"),
         F.col("_w.main.humidity").alias("humidity"), F.col("_w.wind.speed").alias("wind_speed"),
         F.try_element_at(F.col("_w.weather"), F.lit(1))["description"].alias("weather"))
 
