@@ -353,10 +353,14 @@ def train(sample: list[str], layouts: int = LAYOUTS, seed: int = 1) -> Labeller:
 
 
 def learn(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> Labeller:
-    """A labeller from the ``sample`` pages of smallest hash among those of at most ``SAMPLE_CHARS`` characters."""
+    """A labeller from the ``sample`` different pages of smallest hash among those of at most ``SAMPLE_CHARS`` characters."""
     html = F.col(html_col).cast("string")
-    rows = pages.select(html.alias("html")).where((F.length("html") > 0) & (F.length("html") <= SAMPLE_CHARS)).orderBy(F.xxhash64("html"), "html").limit(sample)
-    return train([r["html"] for r in rows.collect()])
+    rows = pages.select(html.alias("html")).where((F.length("html") > 0) & (F.length("html") <= SAMPLE_CHARS)).select(F.xxhash64("html").alias("h"), "html")
+    # hashes first, then the pages they name: tasks send the driver no page that is not in the sample
+    last = rows.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    if last is None:
+        return train([])
+    return train([r["html"] for r in rows.where(F.col("h") <= last).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect()])
 
 
 def extracted(pages: DataFrame, model: Labeller | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
