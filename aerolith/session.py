@@ -14,26 +14,35 @@ the examples. Settings chosen here are the ones every operator relies on:
 from __future__ import annotations
 
 import os
+import shlex
 import tempfile
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "aerolith", cpus: int | str | None = None,
                 shuffle_partitions: int | None = None) -> SparkSession:
-    cpus = cpus or os.environ.get("BENCH_CPUS") or "*"
-    parts = shuffle_partitions or int(os.environ.get("AEROLITH_SHUFFLE_PARTITIONS", "8"))
+    """A session with the library's defaults.
+
+    Where ``spark-submit`` or the environment names a master, it stays, and so do the cluster's partitions and memory;
+    local masters get ``cpus`` threads and few shuffle partitions. ``shuffle_partitions`` holds anywhere.
+    """
+    builder = SparkSession.builder.appName(app)
+    master = SparkContext._active_spark_context.master if SparkContext._active_spark_context else _submitted_master()
+    if master is None or master.startswith("local"):
+        cpus = cpus or os.environ.get("BENCH_CPUS") or "*"
+        shuffle_partitions = shuffle_partitions or int(os.environ.get("AEROLITH_SHUFFLE_PARTITIONS", "8"))
+        builder = builder.master(f"local[{cpus}]").config("spark.driver.memory", os.environ.get("AEROLITH_DRIVER_MEMORY", "8g"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
+        builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", os.environ.get("AEROLITH_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -41,6 +50,13 @@ def get_session(app: str = "aerolith", cpus: int | str | None = None,
     return spark
 
 
+def _submitted_master() -> str | None:
+    """The master that ``spark-submit`` or PYSPARK_SUBMIT_ARGS names, if any."""
+    args = shlex.split(os.environ.get("PYSPARK_SUBMIT_ARGS", ""))
+    named = [b for a, b in zip(args, args[1:]) if a == "--master"]
+    return named[-1] if named else os.environ.get("SPARK_MASTER") or os.environ.get("MASTER")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
 

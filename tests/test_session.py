@@ -49,3 +49,13 @@ def test_local_session_gets_a_scratch_dir():
     path = ensure_checkpoint_dir(s)
     assert path and s.sparkContext.getCheckpointDir() == path
     assert s.conf.get("spark.checkpoint.dir") == path
+
+
+def test_a_submitted_master_stays(monkeypatch):
+    from aerolith import session
+    monkeypatch.setenv("PYSPARK_SUBMIT_ARGS", "--master yarn --conf a=b pyspark-shell")
+    assert session._submitted_master() == "yarn"
+    monkeypatch.setenv("PYSPARK_SUBMIT_ARGS", "pyspark-shell")
+    monkeypatch.delenv("SPARK_MASTER", raising=False)
+    monkeypatch.delenv("MASTER", raising=False)
+    assert session._submitted_master() is None
