@@ -88,7 +88,7 @@ def classify_distance(d: Column) -> Column:
 
 def _all_features(report: DataFrame, features: list[str]) -> DataFrame:
     """``report`` with a row for every feature: one without any value has none of its own. A row per feature, bounded by the schema."""
-    names = report.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    names = report.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
     return names.join(report, "feature", "left")
 
 
