@@ -8,7 +8,8 @@ the overflow moves. Documents are never shuffled: the map (one row per slot, at
 
 Defined results: a null text counts as empty; a null id hashes like any value, together
 with the text's checksum, so null or repeated ids with different texts still spread over the slots;
-exact repeats of a row share a slot and get different places in their shard; an empty table
+exact repeats of a row share a slot and get different places in their shard (a slot is never split, so sizes are as near equal as the bytes
+of the largest set of equal rows allow); an empty table
 gives no rows; extra columns are ignored. Everything is DataFrame or SQL expressions.
 """
 
