@@ -1,18 +1,21 @@
 """Model training, scoring, ranking and persistence with Spark ML (ML1-ML10, TS5 with MLlib, TS10).
 
-Every estimator is distributed MLlib; the driver only loops over the
-handful of model specifications (ML6), timing each fit and recording
-failures instead of aborting. Evaluation stacks all models' predictions as
+Every estimator is distributed MLlib; the driver only deals the
+handful of model specifications (ML6) to a few threads, as many as leave
+each fit its cores, timing each fit and recording failures instead of
+aborting. Evaluation stacks all models' predictions as
 (model, y, y_hat) and computes the metrics in one aggregation (ML8).
 """
 
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -48,6 +51,10 @@ GROWING = {"random_forest": {"cacheNodeIds": True, "checkpointInterval": 10, "ma
            "gbt": {"checkpointInterval": 10, "maxMemoryInMB": 1024}}
 #: rows of a training partition at least: each level of each tree is a job, and a small table in many partitions is all scheduling
 ROWS_PER_PARTITION = 100_000
+#: a forest is grown as one part for every so many rows, in parts of equal numbers of trees: deep trees have nodes in proportion to the
+#: rows, and a fit has only as many tasks as the table has partitions. Up to that many rows it is one MLlib forest.
+ROWS_PER_FOREST_PART = 5_000
+FOREST_PARTS = 12
 
 
 def preprocessor_stages(categorical=CATEGORICAL_FEATURES, numeric=NUMERIC_FEATURES):
@@ -69,11 +76,53 @@ def ridge_reg_param(train: DataFrame, alpha: float = RIDGE_ALPHA, label: str = T
     return float(alpha) * float(r["s"] or 0.0) / max(int(r["n"]), 1)
 
 
+def fit_slots(train: DataFrame) -> int:
+    """How many fits on ``train`` can run at once without waiting for each other's tasks."""
+    return max(1, train.sparkSession.sparkContext.defaultParallelism // train.rdd.getNumPartitions())
+
+
+def in_threads(spark, workers: int, calls: list) -> list:
+    """The results of ``calls``, at most ``workers`` at a time; the first error is raised when all have ended."""
+    with ThreadPoolExecutor(max(1, workers)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]
+    return [r.result() for r in running]
+
+
+def forest_parts(rows: int, trees: int) -> int:
+    """The number of parts of a forest: the largest divisor of ``trees`` that the rows call for, so that parts weigh the same."""
+    most = min(FOREST_PARTS, max(1, -(-rows // ROWS_PER_FOREST_PART)))
+    return max(k for k in range(1, most + 1) if trees % k == 0)
+
+
+class ForestInParts(Estimator):
+    """ML4: a random forest grown as ``parts`` MLlib forests, ``workers`` at a time; the prediction is the mean over all trees."""
+
+    def __init__(self, params: dict, parts: int, label: str, workers: int):
+        super().__init__()
+        self.params_, self.parts, self.label, self.workers = params, parts, label, workers
+
+    def forest(self, k: int) -> RandomForestRegressor:
+        """Part ``k``, with seeds of its own: MLlib draws a partition's bootstrap from seed + its number + 1, hence the wide steps."""
+        growing = GROWING["random_forest"] | {"maxMemoryInMB": max(64, GROWING["random_forest"]["maxMemoryInMB"] // self.parts)}
+        own = {"numTrees": self.params_["numTrees"] // self.parts, "seed": self.params_.get("seed", 0) + 1_000_003 * k}
+        return RandomForestRegressor(featuresCol="features", labelCol=self.label, predictionCol=f"prediction_{k}",
+                                     **growing, **(self.params_ | own))
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        forests = in_threads(dataset.sparkSession, self.workers, [lambda k=k: self.forest(k).fit(dataset) for k in range(self.parts)])
+        names = [f"prediction_{k}" for k in range(self.parts)]
+        mean = SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(names)}), ({' + '.join(names)}) / {self.parts}D AS prediction FROM __THIS__")
+        return PipelineModel([*forests, mean])
+
+
 def estimator(spec: ModelSpec, train: DataFrame, label: str = TARGET):
     if spec.kind == "ridge":
         return LinearRegression(featuresCol="features", labelCol=label, regParam=ridge_reg_param(train, label=label),
                                 elasticNetParam=0.0, standardization=False, solver="normal")
     if spec.kind == "random_forest":
+        parts = forest_parts(train.count(), spec.params.get("numTrees", 20))
+        if parts > 1:
+            return ForestInParts(spec.params, parts, label, max(1, fit_slots(train) - 1))   # one slot is the other models'
         return RandomForestRegressor(featuresCol="features", labelCol=label, **GROWING[spec.kind], **spec.params)
     if spec.kind == "gbt":
         return GBTRegressor(featuresCol="features", labelCol=label, **GROWING[spec.kind], **spec.params)
@@ -105,16 +154,19 @@ def train_models(train: DataFrame, specs: list[ModelSpec], label: str = TARGET,
     spark = train.sparkSession
     train = training_rows(train)
     digest = model_store.data_digest(train)
-    fitted, rows = {}, []
-    for spec in specs:
+    def fit(spec):
         t0 = time.perf_counter()
         try:
             what = {"kind": spec.kind, "params": spec.params, "label": label, **{k: list(v) for k, v in kw.items()}}
             fit = model_store.fit_once(build_pipeline(spec, train, label=label, **kw), train, what, store, digest)
-            fitted[spec.name] = fit.model
-            rows.append((spec.name, spec.kind, fit.seconds, "trained", None))
+            return fit.model, (spec.name, spec.kind, fit.seconds, "trained", None)
         except Exception as err:  # noqa: BLE001 - continue with the other models
-            rows.append((spec.name, spec.kind, round(time.perf_counter() - t0, 3), "failed", str(err)))
+            return None, (spec.name, spec.kind, round(time.perf_counter() - t0, 3), "failed", str(err))
+
+    # two at a time: boosting is a long row of short jobs, during which the forest has the other cores
+    done = in_threads(spark, min(2, fit_slots(train)), [lambda s=s: fit(s) for s in specs])
+    fitted = {row[0]: model for model, row in done if model is not None}
+    rows = [row for _, row in done]
     summary = spark.createDataFrame(rows, "model string, kind string, fit_seconds double, status string, error string")
     return fitted, summary
 

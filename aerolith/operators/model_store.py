@@ -44,6 +44,11 @@ class Fit:
     found: bool
 
 
+def flat(model: PipelineModel) -> PipelineModel:
+    """``model`` with the stages of pipelines inside it as its own, so that MLlib's writer saves it."""
+    return PipelineModel([x for stage in model.stages for x in (stage.stages if isinstance(stage, PipelineModel) else [stage])])
+
+
 def fit_once(pipeline: Pipeline, train: DataFrame, what: dict, store: str | None = None, digest: str | None = None) -> Fit:
     """The fit of ``pipeline`` on ``train``, from the store if the same rows were fitted with the same ``what`` (a JSON-able description)."""
     spark = train.sparkSession
@@ -53,7 +58,7 @@ def fit_once(pipeline: Pipeline, train: DataFrame, what: dict, store: str | None
     if found:
         return Fit(PipelineModel.load(f"{store}/{found[0]['folder']}"), found[0]["seconds"], True)
     start = time.perf_counter()
-    model = pipeline.fit(train)
+    model = flat(pipeline.fit(train))
     seconds = round(time.perf_counter() - start, 3)
     folder = f"data/fit-{uuid.uuid4().hex[:12]}"
     model.write().save(f"{store}/{folder}")

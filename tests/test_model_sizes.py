@@ -1,4 +1,6 @@
 """The registered tree queries train models of the reference sizes, once per training table."""
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +68,39 @@ def test_failed_models_are_rows(spark, table, tmp_path):
     rows = {r["model"]: r for r in ML.compare_models(fitted, table, fit_summary=summary).collect()}
     assert set(rows) == {s.name for s in SMALL} and rows["Broken"]["status"] == "failed" and rows["Broken"]["rmse"] is None
     assert sum(r["selected"] for r in rows.values()) == 1 and all(rows[m]["mape"] is not None for m in fitted)
+
+
+def test_models_are_fitted_beside_each_other(spark, table, tmp_path, monkeypatch):
+    """Two fits at once: each waits for the other to begin. The summary keeps the order of the specs."""
+    both, fit_once = threading.Barrier(2, timeout=60), MS.fit_once
+
+    def met(pipeline, train, what, *a):
+        if what["kind"] != "gbt":
+            both.wait()
+        return fit_once(pipeline, train, what, *a)
+
+    monkeypatch.setattr(MS, "fit_once", met)
+    fitted, summary = ML.train_models(table, SMALL, store=str(tmp_path))
+    assert [(r["model"], r["status"]) for r in summary.collect()] == [
+        ("Ridge", "trained"), ("Forest", "trained"), ("Boosting", "trained"), ("Broken", "failed")]
+    assert list(fitted) == ["Ridge", "Forest", "Boosting"]
+
+
+def test_parts_of_a_forest():
+    assert [ML.forest_parts(n, 300) for n in (0, 5_000, 5_001, 30_000, 35_000, 10**7)] == [1, 1, 2, 6, 6, 12]
+    assert ML.forest_parts(10**7, 7) == 7 and ML.forest_parts(10**7, 13) == 1
+
+
+def test_forest_in_parts_is_the_mean_of_all_trees(spark, table, tmp_path, monkeypatch):
+    """Every tree is grown, no two parts alike, and the stored forest is the one that was fitted."""
+    spec = ML.ModelSpec("Forest", "random_forest", {"numTrees": 6, "maxDepth": 4, "seed": 1})
+    monkeypatch.setattr(ML, "ROWS_PER_FOREST_PART", 70)   # 200 rows: three parts
+    model = ML.train_models(table, [spec], store=str(tmp_path))[0]["Forest"]
+    again = ML.train_models(table, [spec], store=str(tmp_path))[0]["Forest"]
+    trees = [t for s in model.stages if hasattr(s, "trees") for t in s.trees]
+    assert len(trees) == 6 and len({t.toDebugString.split("\n", 1)[1] for t in trees}) == 6
+    assert all(s.getMaxDepth() == 4 for s in model.stages if hasattr(s, "trees"))
+    rows, same = (m.transform(table).orderBy(*ML.NUMERIC_FEATURES).collect() for m in (model, again))
+    assert not any(c.startswith("prediction_") for c in rows[0].asDict())
+    for r, s in zip(rows[:20], same[:20], strict=True):
+        assert r["prediction"] == pytest.approx(sum(t.predict(r["features"]) for t in trees) / 6) == s["prediction"]
